@@ -65,9 +65,9 @@ def dated_native(raw: DataFrame) -> DataFrame:
 # --- Effect of filter choices ---
 
 
-def filter_test_data(occ: DataFrame) -> DataFrame:
-    spec = RunSpec("filter_test", introduced="native_or_unknown", select="validation")
-    return occ.filter(spec.predicate()).select(*spec.columns())
+def filter_test_data(occ: DataFrame, limit: int | None = None) -> DataFrame:
+    spec = RunSpec("filter_test", introduced="native_or_unknown", select="validation", limit=limit)
+    return spec.limited(occ.filter(spec.predicate())).select(*spec.columns())
 
 
 def null_rates_obs(data: DataFrame) -> DataFrame:

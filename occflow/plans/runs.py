@@ -82,6 +82,22 @@ def remaining(species: DataFrame) -> DataFrame:
     return species.filter((F.col("is_in_run1") == 0) & (F.col("is_in_nsr") == 0))
 
 
+def _observations_and_status(
+    occ: DataFrame, spec: RunSpec, stage: Stage
+) -> tuple[DataFrame, DataFrame]:
+    """Observations of the run, and native status of all species passing the main filter.
+
+    Both come from one scan of the occurrences when the extract has the columns for
+    it. A limit applies to each on its own, so it needs two scans.
+    """
+    shared = spec.limit is None and spec.select == "standard" and spec.introduced in filters.INTRODUCED
+    if not shared:
+        return stage.table(extract(occ, spec), "observations"), native_status(occ, spec)
+    passing = stage.table(extract(occ, replace(spec, introduced="any")), "observations")
+    own = filters.predicate(spec.introduced, filters.INTRODUCED)
+    return passing.filter(own), status_ops.native_status_table(passing)
+
+
 def supplemental_run(
     occ: DataFrame,
     growth_forms: DataFrame,
@@ -90,12 +106,12 @@ def supplemental_run(
     stage: Stage,
 ) -> Run:
     """A main run, less the species of an earlier run and those of any checklist."""
-    observations = stage.table(extract(occ, spec), "observations")
+    observations, statuses = _observations_and_status(occ, spec, stage)
     profile = stage.table(taxonomy.species_profile(observations), "profile")
     names = stage.table(taxonomy.dropped_names(profile), "dropped_names")
     kept = taxonomy.drop_names(profile, names)
 
-    statuses = stage.table(native_status(occ, spec), "native_status")
+    statuses = stage.table(statuses, "native_status")
     rows = species_ops.species_table(kept, growth_forms)
     flagged = stage.table(supplemental_species(rows, previous, statuses), "species")
     final = remaining(flagged)

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Adaptive execution merges small shuffle partitions but cannot add any, so the
-# starting number is sized for the largest run.
+# Adaptive execution merges small shuffle partitions but cannot add any: set
+# spark.sql.adaptive.coalescePartitions.initialPartitionNum for the largest run.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Recording the call site of every column expression slows plan building.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occflow import constants as C
-from occflow.sources.readers import CSV_DIALECT, read_table
+from occflow.sources.readers import CSV_DIALECT
 from occflow.sources.staging import Stage, hadoop_path
 
 SPECIES_DIR = "species_file"
@@ -35,10 +35,10 @@ def save_run_table(df: DataFrame, base: str, name: str, cluster_by: Sequence[str
     if "/" in base:
         target = f"{base}/{name}"
         df.write.mode("overwrite").parquet(target)
-    else:
-        target = f"`{base}`.`{name}`"
-        df.write.mode("overwrite").format("parquet").saveAsTable(target)
-    return read_table(spark, target)
+        return spark.read.schema(df.schema).parquet(target)
+    target = f"`{base}`.`{name}`"
+    df.write.mode("overwrite").format("parquet").saveAsTable(target)
+    return spark.table(target)
 
 
 def guard_output(spark: SparkSession, path: str) -> None:

@@ -6,43 +6,63 @@ views are shared; what is computed from them is written twice, independently.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+PREFIXES = {
+    "l": "lineitem",
+    "o": "orders",
+    "p": "part",
+    "s": "supplier",
+    "n": "nation",
+    "r": "region",
+}
 
 BINOMIAL = "concat(p_name, ' ', cast(p_partkey as varchar(12)))"
 
+# Columns added to a table before the views read it.
+HELPERS = {
+    "part": {
+        "p_status_rule": """case when p_partkey % 7 = 3 then 7 when p_partkey % 11 = 2 then 11
+            when p_partkey % 13 = 5 then 13 when p_partkey % 29 = 6 then 29 else 0 end""",
+        "p_group": """case
+            when p_type like 'ECONOMY%' then 'bryophytes'
+            when p_type like 'SMALL%' then 'ferns and allies'
+            when p_type like 'MEDIUM%' then 'flowering plants'
+            when p_type like 'PROMO%' then 'gymnosperms (conifers)'
+            when p_type like 'STANDARD%' then 'gymnosperms (non-conifer)'
+            else 'algae' end""",
+        "p_native_rule": "case p_partkey % 5 when 0 then 0 when 1 then 1 else 2 end",
+    },
+    "supplier": {
+        "s_status_3": "case s_suppkey % 3 when 0 then 'A' when 1 then 'UNK' end",
+        "s_status_7": """case s_suppkey % 7 when 0 then 'A' when 1 then 'UNK' when 2 then 'I'
+            when 3 then 'N' when 4 then 'Ne' end""",
+        "s_introduced_7": "case when s_suppkey % 7 in (0, 3, 4) then 0 when s_suppkey % 7 = 2 then 1 end",
+    },
+}
+
 OCC = {
     "taxonobservation_id": "cast(l_orderkey * 10000000000 + l_partkey * 100000 + l_suppkey * 10 + l_linenumber as bigint)",
     "scrubbed_species_binomial": f"case when p_partkey % 97 = 0 then null else {BINOMIAL} end",
     "latitude": "l_quantity",
     "longitude": "l_extendedprice / cast(1000 as double)",
-    "scrubbed_taxonomic_status": """case
-        when p_partkey % 7 = 3 then
-            case when o_orderpriority = '1-URGENT' then 'No opinion' else 'Unresolved' end
-        when p_partkey % 11 = 2 then
-            case l_returnflag when 'R' then 'Unresolved' when 'N' then 'No opinion' else 'Accepted' end
-        when p_partkey % 13 = 5 then case when l_returnflag = 'R' then null else 'Accepted' end
-        when p_partkey % 29 = 6 then case when l_returnflag = 'R' then 'Synonym' else 'Unresolved' end
+    "scrubbed_taxonomic_status": """case p_status_rule
+        when 7 then case when o_orderpriority = '1-URGENT' then 'No opinion' else 'Unresolved' end
+        when 11 then case l_returnflag when 'R' then 'Unresolved' when 'N' then 'No opinion' else 'Accepted' end
+        when 13 then case when l_returnflag = 'R' then null else 'Accepted' end
+        when 29 then case when l_returnflag = 'R' then 'Synonym' else 'Unresolved' end
         else 'Accepted' end""",
-    "higher_plant_group": """case
-        when p_partkey % 17 = 4 and l_linestatus = 'F' then 'bryophytes'
-        when p_type like 'ECONOMY%' then 'bryophytes'
-        when p_type like 'SMALL%' then 'ferns and allies'
-        when p_type like 'MEDIUM%' then 'flowering plants'
-        when p_type like 'PROMO%' then 'gymnosperms (conifers)'
-        when p_type like 'STANDARD%' then 'gymnosperms (non-conifer)'
-        else 'algae' end""",
+    "higher_plant_group": "case when p_partkey % 17 = 4 and l_linestatus = 'F' then 'bryophytes' else p_group end",
     "country": "n_name",
     "continent": "r_name",
-    "native_status": """case
-        when p_partkey % 5 = 0 then case s_suppkey % 3 when 0 then 'A' when 1 then 'UNK' end
-        when p_partkey % 5 = 1 then null
-        else case s_suppkey % 7 when 0 then 'A' when 1 then 'UNK' when 2 then 'I'
-            when 3 then 'N' when 4 then 'Ne' end end""",
-    "is_introduced": """cast(case
-        when p_partkey % 5 = 0 then case when p_partkey % 2 = 0 and s_suppkey % 3 = 0 then 0 end
-        when p_partkey % 5 = 1 then null
-        else case when s_suppkey % 7 in (0, 3, 4) then 0 when s_suppkey % 7 = 2 then 1 end end as int)""",
+    "native_status": """case p_native_rule when 0 then s_status_3 when 1 then null else s_status_7 end""",
+    "is_introduced": """case p_native_rule
+        when 0 then case when p_partkey % 2 = 0 and s_suppkey % 3 = 0 then 0 end
+        when 1 then null else s_introduced_7 end""",
     "observation_type": """case substring(o_orderpriority, 1, 1)
         when '1' then 'plot' when '2' then 'specimen' when '3' then 'literature'
         when '4' then 'checklist' else 'human observation' end""",
@@ -151,24 +171,53 @@ LOOKUPS = {
 }
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. Its schema is read from the file once, as a catalog would keep it."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
+def _split(columns: dict[str, str]) -> tuple[dict[str, dict[str, str]], dict[str, str]]:
+    """Columns that one table alone defines, by table, and the others."""
+    own: dict[str, dict[str, str]] = {table: {} for table in PREFIXES.values()}
+    mixed = {}
+    for name, sql in columns.items():
+        tables = {PREFIXES[p] for p in re.findall(r"\b([lopsnr])_\w+", sql)}
+        (own[tables.pop()] if len(tables) == 1 else mixed)[name] = sql
+    return own, mixed
 
 
 def occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The occurrence view. Small dimensions are joined to each other first."""
-    lineitem, orders, part, supplier, nation, region = (
-        _table(spark, sf_dir, t)
-        for t in ("lineitem", "orders", "part", "supplier", "nation", "region")
-    )
-    places = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).join(
-        region, F.col("n_regionkey") == F.col("r_regionkey")
+    """The occurrence view.
+
+    What one table alone defines is computed before it is joined: once per part or
+    supplier instead of once per observation, and in generated methods small
+    enough for the JVM to compile. Every lookup is joined straight from its file,
+    whose size Spark knows, so that the small ones are broadcast.
+    """
+    own, mixed = _split(OCC)
+
+    def table(name: str) -> DataFrame:
+        computed = {**HELPERS.get(name, {}), **own[name]}
+        return _table(spark, sf_dir, name).selectExpr(
+            "*", *[f"{sql} AS `{column}`" for column, sql in computed.items()]
+        )
+
+    joined = (
+        table("lineitem")
+        .join(table("orders"), F.expr("l_orderkey = o_orderkey"))
+        .join(table("part"), F.expr("l_partkey = p_partkey"))
+        .join(table("supplier"), F.expr("l_suppkey = s_suppkey"))
+        .join(table("nation"), F.expr("s_nationkey = n_nationkey"))
+        .join(table("region"), F.expr("n_regionkey = r_regionkey"))
     )
-    return (
-        lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(places, F.col("l_suppkey") == F.col("s_suppkey"))
-        .select(*[F.expr(sql).alias(name) for name, sql in OCC.items()])
+    return joined.selectExpr(
+        *[f"{mixed[c]} AS `{c}`" if c in mixed else f"`{c}`" for c in OCC]
     )
 
 
@@ -217,11 +266,15 @@ def country_species_sdm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def occ_sql() -> str:
     columns = ",\n".join(f'{sql} as "{name}"' for name, sql in OCC.items())
+    helped = {
+        table: "(select *, " + ", ".join(f"{sql} as {c}" for c, sql in added.items()) + f" from {table})"
+        for table, added in HELPERS.items()
+    }
     return f"""select {columns}
         from lineitem
         join orders on l_orderkey = o_orderkey
-        join part on l_partkey = p_partkey
-        join supplier on l_suppkey = s_suppkey
+        join {helped["part"]} part on l_partkey = p_partkey
+        join {helped["supplier"]} supplier on l_suppkey = s_suppkey
         join nation on s_nationkey = n_nationkey
         join region on n_regionkey = r_regionkey"""
 
