@@ -10,6 +10,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A filtering scan writes one file per task; larger splits keep them few. Small
+    # inputs are still spread over all cores.
+    "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.session.timeZone": "UTC",
     # Recording the call site of every column expression slows plan building.
     "spark.python.sql.dataFrameDebugging.enabled": "false",

@@ -64,6 +64,7 @@ def by_species(
     observations: DataFrame,
     columns: Sequence[str] = POINT_COLUMNS,
     rows_per_file: int = ROWS_PER_FILE,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """Lay observations out for one file per species, ordered by id.
 
@@ -72,8 +73,9 @@ def by_species(
     order, are still in id order. Every other species stays in one file.
     """
     spark = observations.sparkSession
+    stage = stage or Stage(spark)
     species = observations.filter(F.col(C.NOSPACE).isNotNull())
-    counts = Stage(spark).table(
+    counts = stage.table(
         species.groupBy(C.NOSPACE).agg(F.count(F.lit(1)).alias("n")), "species_counts"
     )
     total, largest = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.max("n")).first()
@@ -85,8 +87,12 @@ def by_species(
     )
     ranges = [F.col(SPECIES_DIR)]
     if total and largest > rows_per_file:
-        large = counts.filter(F.col("n") > rows_per_file).select(
-            F.col(C.NOSPACE).alias(SPECIES_DIR), F.lit(True).alias("__large")
+        # At most total / rows_per_file species. Staged, so that Spark knows how few.
+        large = stage.table(
+            counts.filter(F.col("n") > rows_per_file).select(
+                F.col(C.NOSPACE).alias(SPECIES_DIR), F.lit(True).alias("__large")
+            ),
+            "large_species",
         )
         laid_out = laid_out.join(large, SPECIES_DIR, "left")
         ranges.append(F.when(F.col("__large"), F.col("__id")))
@@ -107,13 +113,17 @@ def export_by_species(
     rows_per_file: int = ROWS_PER_FILE,
 ) -> None:
     """One directory per species in a single job, in place of one query per species."""
-    (
-        by_species(observations, columns, rows_per_file)
-        .write.options(header=header, **CSV_DIALECT)
-        .mode("errorifexists")
-        .partitionBy(SPECIES_DIR)
-        .csv(path)
-    )
+    stage = Stage(observations.sparkSession)
+    try:
+        (
+            by_species(observations, columns, rows_per_file, stage)
+            .write.options(header=header, **CSV_DIALECT)
+            .mode("errorifexists")
+            .partitionBy(SPECIES_DIR)
+            .csv(path)
+        )
+    finally:
+        stage.clear()
 
 
 def flatten_by_species(spark: SparkSession, path: str) -> None:

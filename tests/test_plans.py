@@ -77,6 +77,21 @@ def test_the_whole_filter_reaches_the_scan(spark, occ, settings):
     assert "Exchange" not in text
 
 
+def test_generated_methods_are_small_enough_to_be_compiled(spark, occ, sf_dir, settings):
+    """The JVM interprets methods above 8000 bytes of code, many times slower."""
+    settings(spark__sql__adaptive__enabled="false")
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    view = fixtures.occurrences(spark, sf_dir)
+    for df in (
+        runs.extract(occ, RunSpec("r")),
+        runs.unfiltered_run(occ),
+        runs.extract(view, RunSpec("r")),
+        runs.unfiltered_run(view),
+    ):
+        text = df._jdf.queryExecution().explainString(mode)
+        assert 0 < max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)) < 8000
+
+
 def test_only_needed_columns_are_read(spark, occ, settings):
     settings(spark__sql__maxMetadataStringLength="10000")
     text = scan_details(spark, taxonomy.species_profile(runs.extract(occ, RunSpec("r"))))
