@@ -199,7 +199,10 @@ def test_legacy_and_unfiltered_exports(spark, occ, growth_forms, sf_dir, tmp_pat
     assert len(exported) - 1 == used.select(C.SPECIES).distinct().count()
 
 
-def test_staged_tables_are_cleared(spark, stored):
-    root = spark.conf.get("spark.checkpoint.dir")
-    left = glob.glob(f"{root}/occflow-*/observations-*")
-    assert left == []
+def test_staged_tables_are_cleared(spark, occ, growth_forms, tmp_path):
+    staged = f"{spark.conf.get('spark.checkpoint.dir')}/occflow-*"
+    before = set(glob.glob(staged))
+    limited = RunSpec("cleared", limit=20)
+    runs.run_and_export(occ, growth_forms, limited, f"{tmp_path}/base", f"{tmp_path}/out")
+    assert set(glob.glob(staged)) == before
+    assert glob.glob(f"{tmp_path}/out/rm_data_cleared/species/*/*.csv")
