@@ -238,8 +238,20 @@ def import_species(species_list: DataFrame, occ: DataFrame) -> DataFrame:
     )
 
 
-def import_and_export(spark: SparkSession, list_path: str, occ: DataFrame, out_path: str) -> None:
-    sinks.export_csv(import_species(read_species_list(spark, list_path), occ), out_path)
+def import_and_export(
+    spark: SparkSession,
+    list_path: str,
+    occ: DataFrame,
+    out_path: str,
+    names_path: str | None = None,
+) -> None:
+    """Import a species list and write it with its attributes, and if asked its names."""
+    species = read_species_list(spark, list_path)
+    if names_path:
+        names = derive.with_species_from_underscore(species).select("species")
+        ordered = names.orderBy(F.col("species").asc_nulls_last())
+        sinks.export_csv(ordered, names_path, header=False)
+    sinks.export_csv(import_species(species, occ), out_path)
 
 
 @dataclass(frozen=True)

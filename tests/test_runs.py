@@ -199,6 +199,28 @@ def test_legacy_and_unfiltered_exports(spark, occ, growth_forms, sf_dir, tmp_pat
     assert len(exported) - 1 == used.select(C.SPECIES).distinct().count()
 
 
+def test_import_keeps_every_listed_name(spark, occ, tmp_path):
+    names = ["absent_one"] + [
+        r[0].replace(" ", "_")
+        for r in occ.select(C.SPECIES).distinct().orderBy(F.col(C.SPECIES).desc()).head(2)
+    ]
+    source = str(tmp_path / "list")
+    spark.createDataFrame([(n,) for n in names], "species_ul string").write.csv(source)
+    runs.import_and_export(spark, source, occ, f"{tmp_path}/out", f"{tmp_path}/names")
+    back = readers.read_csv(
+        spark,
+        f"{tmp_path}/out",
+        "species_ul string, species string, taxonomic_status string, higher_taxon string",
+        header=True,
+    )
+    found = {r.species_ul: r for r in back.collect()}
+    assert set(found) == set(names)
+    assert found["absent_one"].higher_taxon is None
+    assert all(found[n].higher_taxon is not None for n in names[1:])
+    listed = readers.read_csv(spark, f"{tmp_path}/names", "species string", header=False)
+    assert rows(listed) == sorted((n.replace("_", " "),) for n in names)
+
+
 def test_staged_tables_are_cleared(spark, occ, growth_forms, tmp_path):
     staged = f"{spark.conf.get('spark.checkpoint.dir')}/occflow-*"
     before = set(glob.glob(staged))
