@@ -52,6 +52,10 @@ def update_from(
     A match assigns nulls too. A column that ``target`` lacks is added, null where
     nothing matches. Unless ``unique`` says that the lookup has one row per key,
     the first row per key is taken, so a target row never multiplies.
+
+    For a target of observations, pass a lookup read from a table, with ``unique``:
+    adaptive execution divides a hot key only when both sides of a shuffled join
+    are shuffled for it, which the result of an aggregation is not.
     """
     source = lookup.select(
         F.col(lookup_key).alias("__key"),

@@ -224,7 +224,7 @@ def import_species(species_list: DataFrame, occ: DataFrame) -> DataFrame:
     A name with several combinations gets the first, ascending with nulls last.
     """
     species = derive.with_species_from_underscore(species_list)
-    names = species.select(F.col("species").alias(C.SPECIES)).distinct()
+    names = species.select(F.col("species").alias(C.SPECIES))
     attributes = first_per_key(
         occ.join(names, C.SPECIES, "left_semi"), C.SPECIES, ["scrubbed_taxonomic_status", C.GROUP]
     )
@@ -276,9 +276,7 @@ def flagging_run(
         .withColumn("native_status", F.lit(None).cast("string"))
         .withColumn("is_introduced", F.lit(1))
     )
-    described = update_from(
-        cleared, metadata, C.SPECIES, C.SPECIES, {C.STATUS: C.STATUS, C.GROUP: C.GROUP}
-    ).transform(derive.with_is_vasc)
+    described = update_attributes(cleared, metadata, stage).transform(derive.with_is_vasc)
     with_status = update_native_status(described, occ, stage)
     flagged = with_status.withColumn(ob_flag, F.when(filters.accepted_native(), 1).otherwise(0))
 
@@ -294,6 +292,19 @@ def flagging_run(
     )
 
 
+def update_attributes(raw: DataFrame, metadata: DataFrame, stage: Stage) -> DataFrame:
+    """Fill taxonomic status and plant group by species from the metadata.
+
+    The lookup is reduced to one row per species and staged before it meets the
+    observations, as :func:`update_from` asks for targets with hot keys.
+    """
+    values = [C.STATUS, C.GROUP]
+    attributes = stage.table(first_per_key(metadata, C.SPECIES, values), "attributes")
+    return update_from(
+        raw, attributes, C.SPECIES, C.SPECIES, {v: v for v in values}, unique=True
+    )
+
+
 def update_native_status(raw: DataFrame, occ: DataFrame, stage: Stage) -> DataFrame:
     """Fill native status by id from the occurrences of the species in ``raw``."""
     names = stage.table(

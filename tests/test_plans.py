@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from occflow import constants as C
 from occflow.functions import derive
-from occflow.operators import taxonomy
+from occflow.operators import lookups, taxonomy
 from occflow.plans import checks, runs
 from occflow.sources import sinks
 from occflow.spec import RunSpec
@@ -135,21 +135,44 @@ def hot_observations(spark, rows=200_000):
     ).transform(derive.with_species_nospace)
 
 
-def test_a_hot_species_is_split_when_nothing_can_be_broadcast(spark, stage, settings):
+def _removal(observations, stage, spark):
+    names = spark.createDataFrame([("Hot one", "Unresolved")], f"{C.SPECIES} string, {C.STATUS} string")
+    return taxonomy.drop_names(observations, stage.table(names, "names")), 200_000 - 6_667
+
+
+def _species_removal(observations, stage, spark):
+    names = spark.createDataFrame([("Cold 1",)], f"{C.SPECIES} string")
+    return lookups.drop_species(observations, stage.table(names, "names")), None
+
+
+def _selection(observations, stage, spark):
+    names = spark.createDataFrame([("Hot one",)], "s string")
+    return checks.with_names(observations, stage.table(names, "names")), 66_667
+
+
+def _attributes(observations, stage, spark):
+    metadata = spark.createDataFrame(
+        [("Hot one", "Accepted", "bryophytes")],
+        f"{C.SPECIES} string, {C.STATUS} string, {C.GROUP} string",
+    )
+    return runs.update_attributes(observations, metadata, stage), 200_000
+
+
+@pytest.mark.parametrize("build", [_removal, _species_removal, _selection, _attributes])
+def test_a_hot_species_is_split_when_nothing_can_be_broadcast(spark, stage, settings, build):
     settings(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="200KB",
-        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.2",
         spark__sql__adaptive__advisoryPartitionSizeInBytes="100KB",
     )
     observations = stage.table(hot_observations(spark), "observations")
-    flagged = checks.with_names(
-        observations, stage.table(spark.createDataFrame([("Hot one",)], "s string"), "names")
-    )
-    text = final_plan(flagged.select(C.OBS_ID, C.SPECIES, "latitude", "longitude"))
+    df, expected = build(observations, stage, spark)
+    text = final_plan(df)
     assert "SortMergeJoin" in text and "skew=true" in text
-    assert flagged.count() == 66_667
+    if expected is not None:
+        assert df.count() == expected
 
 
 def test_a_hot_species_is_divided_on_export(spark, stage):

@@ -292,12 +292,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "jn5_filter_counts": lambda i: species_ops.with_filter_counts(
         i.lookup("all_species"), i.lookup("species_observation_counts_crosstab")
     ).select("species", "obs_ranges_common", "obs_ranges_rare", "obs_ranges_rare_native"),
-    "jn6_metadata": lambda i: lookups.update_from(
-        i.raw.drop(C.STATUS, C.GROUP),
-        i.lookup("range_model_data_metadata"),
-        C.SPECIES,
-        C.SPECIES,
-        {C.STATUS: C.STATUS, C.GROUP: C.GROUP},
+    "jn6_metadata": lambda i: runs.update_attributes(
+        i.raw.drop(C.STATUS, C.GROUP), i.lookup("range_model_data_metadata"), i.stage
     ).select(C.OBS_ID, C.STATUS, C.GROUP),
     "jn7_native_status": lambda i: i.flagging.observations.select(
         C.OBS_ID, "native_status", "is_introduced"
