@@ -33,10 +33,10 @@ def dedup_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text", window
     hashes = docs.where(F.col(text).isNotNull()).select(
         F.col(doc).alias("doc"), version.alias("version"), *repeats.unit_hashes(_lines(F.col(text)))
     )
-    joined = repeats.with_starts(docs, repeats.later_places(hashes, window), doc, version)
+    joined = repeats.with_starts(docs, repeats.later_places(hashes, {window: 0}), doc, version)
     marked = joined.withColumn(
         "__kept",
-        F.when(F.col("__starts").isNotNull(), repeats.kept_units(_lines(F.col(text)), F.col("__starts"), window)),
+        F.when(F.col("__starts").isNotNull(), repeats.kept_units(_lines(F.col(text)), F.col("__starts"))),
     )
     lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(_lines(F.col(text)))).cast("long")
     return (

@@ -110,15 +110,21 @@ QUERIES = {
 _WORD = r"'[^\x20\x09-\x0D]+'"
 
 
-def _repeats_sql(units: str, normal: str, width: int, glue: str, count: str) -> str:
-    keys = ", ".join(f"lead(n, {k}) over w as k{k}" for k in range(width))
-    alike = ", ".join(f"k{k}" for k in range(width))
-    covered = " or ".join(f"coalesce(lag(later, {k}) over w, false)" for k in range(width))
+def _repeats_sql(units: str, normal: str, spans: dict[int, int], glue: str, count: str) -> str:
+    most = max(spans)
+    leads = ", ".join(f"lead(n, {j}) over w as n{j}, lead(words, {j}, 0) over w as words{j}" for j in range(most))
+    later = []
+    for k, least in spans.items():
+        alike, held = ", ".join(f"n{j}" for j in range(k)), " + ".join(f"words{j}" for j in range(k))
+        whole = f"n{k - 1} is not null and {held} >= {least}"
+        later.append(f"({whole}) and row_number() over (partition by {whole}, {alike} order by doc_id, place) > 1 as later{k}")
+    covered = " or ".join(f"coalesce(lag(later{k}, {j}) over w, false)" for k in spans for j in range(k))
     return f"""
 with docs as materialized (select doc_id, text, {units} as u from documents),
  parts as materialized (select doc_id, unnest(u) as unit, generate_subscripts(u, 1) as place from docs),
- runs as (select doc_id, place, {keys} from (select doc_id, place, {normal} as n from parts) window w as (partition by doc_id order by place)),
- marked as (select doc_id, place, k{width - 1} is not null and row_number() over (partition by {alike} order by doc_id, place) > 1 as later from runs),
+ plain as (select doc_id, place, n, len(string_split(n, ' ')) as words from (select doc_id, place, {normal} as n from parts)),
+ runs as (select doc_id, place, {leads} from plain window w as (partition by doc_id order by place)),
+ marked as (select doc_id, place, {", ".join(later)} from runs),
  covered as (select doc_id, place, {covered} as gone from marked window w as (partition by doc_id order by place)),
  kept as (
   select p.doc_id, count(*) filter (gone) as n_removed, string_agg(unit, '{glue}' order by p.place) filter (not gone) as text
@@ -171,11 +177,11 @@ from ratios"""
 
 
 ORACLE = {
-    "op5_line_windows": _repeats_sql("string_split(text, chr(10))", "unit", line_windows.WINDOW, "\n", "n_lines"),
+    "op5_line_windows": _repeats_sql("string_split(text, chr(10))", "unit", {line_windows.WINDOW: 0}, "\n", "n_lines"),
     "op6_sentence_spans": _repeats_sql(
         rf"regexp_extract_all(text, '{sentence_spans.SENTENCE}')",
         r"trim(regexp_replace(lower(unit), '[\x20\x09-\x0D]+', ' ', 'g'))",
-        sentence_spans.SPAN,
+        sentence_spans.SPANS,
         "",
         "n_sentences",
     ),

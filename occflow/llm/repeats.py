@@ -13,12 +13,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _runs(k: int) -> Column:
-    """From the arrays ``h1`` and ``h2``: the hashes of every run of ``k`` units."""
+def _runs(k: int, least: int) -> Column:
+    """From the arrays ``h1``, ``h2`` and ``words``: every run of ``k`` units with ``least`` words or more."""
     hashed = lambda name, i: F.xxhash64(*[F.col(name)[i + F.lit(j)] for j in range(k)])
     places = F.sequence(F.lit(0), F.size("h1") - k)
-    runs = F.transform(places, lambda i: F.struct(hashed("h1", i).alias("a"), hashed("h2", i).alias("b")))
-    return F.when(F.size("h1") >= k, runs)
+    if least:
+        long_enough = lambda i: sum((F.col("words")[i + F.lit(j)] for j in range(1, k)), F.col("words")[i]) >= least
+        places = F.filter(places, long_enough)
+    runs = F.transform(
+        places,
+        lambda i: F.struct(hashed("h1", i).alias("a"), hashed("h2", i).alias("b"), i.alias("place"), F.lit(k).alias("units")),
+    )
+    nothing = F.array().cast("array<struct<a:bigint,b:bigint,place:int,units:int>>")
+    return F.when(F.size("h1") >= k, runs).otherwise(nothing)
 
 
 def unit_hashes(units: Column) -> list[Column]:
@@ -29,32 +36,37 @@ def unit_hashes(units: Column) -> list[Column]:
     ]
 
 
-def later_places(docs: DataFrame, k: int) -> DataFrame:
-    """From (doc, version, h1, h2): places where a run of ``k`` units is not its first.
+def later_places(docs: DataFrame, spans: dict[int, int]) -> DataFrame:
+    """From (doc, version, h1, h2, words): where a run of units is not the first of its kind.
 
-    Runs are ordered by doc (null first), version and place. Rows equal in doc and
-    version are one document. Returns doc, version and ``starts``, an array.
+    ``spans`` has, for each number of units that make a run, the fewest words it must
+    hold. Runs are ordered by doc (null first), version and place. Rows equal in doc
+    and version are one document. Returns doc, version and ``starts``, an array of
+    (place, units).
     """
-    runs = docs.select("doc", "version", F.posexplode(_runs(k)).alias("place", "run")).select(
-        F.col("run.a").alias("a"), F.col("run.b").alias("b"), F.struct("doc", "version", "place").alias("at")
+    runs = docs.select("doc", "version", F.explode(F.concat(*[_runs(k, n) for k, n in spans.items()])).alias("run")).select(
+        F.col("run.a").alias("a"),
+        F.col("run.b").alias("b"),
+        F.col("run.units").alias("units"),
+        F.struct("doc", "version", F.col("run.place").alias("place")).alias("at"),
     )
     first = (
-        runs.groupBy("a", "b")
+        runs.groupBy("a", "b", "units")
         .agg(F.min("at").alias("first"), F.max("at").alias("last"))
         .where(F.col("last") > F.col("first"))
-        .select("a", "b", "first")
+        .select("a", "b", "units", "first")
     )
     return (
-        runs.join(first, ["a", "b"])
+        runs.join(first, ["a", "b", "units"])
         .where(F.col("at") > F.col("first"))
         .groupBy(F.col("at.doc").alias("doc"), F.col("at.version").alias("version"))
-        .agg(F.collect_set("at.place").alias("starts"))
+        .agg(F.collect_set(F.struct(F.col("at.place").alias("place"), "units")).alias("starts"))
     )
 
 
-def kept_units(units: Column, starts: Column, k: int) -> Column:
-    """``units`` without those that a run beginning at one of ``starts`` covers, in order."""
-    covered = F.flatten(F.transform(starts, lambda p: F.sequence(p, p + (k - 1))))
+def kept_units(units: Column, starts: Column) -> Column:
+    """``units`` without those that a run of ``starts`` covers, in order."""
+    covered = F.flatten(F.transform(starts, lambda s: F.sequence(s["place"], s["place"] + s["units"] - 1)))
     kept = F.array_except(F.sequence(F.lit(0), F.size(units) - 1), covered)
     return F.transform(kept, lambda i: units[i])
 

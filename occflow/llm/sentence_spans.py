@@ -1,10 +1,11 @@
 """Substring dedup: remove sentences that a repeated span of sentences covers.
 
 A text is cut after every run of full stops, question or exclamation marks and the
-white space that follows, and after line feeds. Every run of three consecutive
+white space that follows, and after line feeds. Every run of two consecutive
 sentences is hashed and joined globally; every sentence under a span that is not the
 first of its kind (in order of id and place) is removed with its end marks. Spans
-compare by the sentences' words in lower case.
+compare by the sentences' words in lower case. Two very short sentences meet by
+chance, so a span needs ten words; one sentence of twenty-five words is a span by itself.
 
 Defined results: a null text stays null with no sentences; an empty text has none. A
 text with fewer sentences than a span is never touched. A text that loses all its
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 
 from . import repeats
 
-SPAN = 3
+# Sentences in a span, and the fewest words they must hold.
+SPANS = {2: 10, 1: 25}
 SENTENCE = r"[^.!?\n]*[.!?\n]+[\x20\x09-\x0D]*|[^.!?\n]+"
 
 
@@ -32,18 +34,18 @@ def _normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(sentence), r"[\x20\x09-\x0D]+", " "))
 
 
-def dedup_sentences(docs: DataFrame, doc: str = "doc_id", text: str = "text", span: int = SPAN) -> DataFrame:
+def dedup_sentences(docs: DataFrame, doc: str = "doc_id", text: str = "text", spans: dict[int, int] | None = None) -> DataFrame:
     """``docs`` with the cleaned ``text``, n_sentences and n_removed (columns of these names are replaced)."""
     docs = docs.drop("n_sentences", "n_removed")
     version = F.xxhash64(text)
-    hashes = docs.where(F.col(text).isNotNull()).select(
-        F.col(doc).alias("doc"),
-        version.alias("version"),
-        *repeats.unit_hashes(F.transform(_sentences(F.col(text)), _normalised)),
+    plain = docs.where(F.col(text).isNotNull()).select(
+        F.col(doc).alias("doc"), version.alias("version"), F.transform(_sentences(F.col(text)), _normalised).alias("units")
     )
-    joined = repeats.with_starts(docs, repeats.later_places(hashes, span), doc, version)
+    words = F.transform("units", lambda x: F.size(F.split(x, " "))).alias("words")
+    hashes = plain.select("doc", "version", *repeats.unit_hashes(F.col("units")), words)
+    joined = repeats.with_starts(docs, repeats.later_places(hashes, spans or SPANS), doc, version)
     marked = joined.withColumn("__units", _sentences(F.col(text))).withColumn(
-        "__kept", F.when(F.col("__starts").isNotNull(), repeats.kept_units(F.col("__units"), F.col("__starts"), span))
+        "__kept", F.when(F.col("__starts").isNotNull(), repeats.kept_units(F.col("__units"), F.col("__starts")))
     )
     count = F.when(F.col(text).isNull(), 0).otherwise(F.size("__units")).cast("long")
     return (
