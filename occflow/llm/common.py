@@ -84,6 +84,18 @@ def grouped(texts: Iterable[str | None], limit: int = 1 << 20) -> Iterator[tuple
         yield owners, parts
 
 
+def slices(texts: list[str | None], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Stretches of whole texts, each of about ``limit`` characters, that cover the list."""
+    start = held = 0
+    for index, text in enumerate(texts):
+        held += len(text or "") + 1
+        if held >= limit:
+            yield start, index + 1
+            start, held = index + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def code_points(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Code points of all parts, each after one space, and the place of that space."""
     joined = " " + " ".join(parts) + " "

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import Stage
-from .common import character_table, code_points, grouped, hash_below
+from .common import character_table, code_points, grouped, hash_below, slices
 
 _CAPS, _REPEAT, _NUMBER = (np.uint64(x) for x in (0x1F3D5B79, 0x2A4C6E80, 0x35577799))
 _BASE = np.uint64(0x100000001B3)
@@ -40,7 +40,7 @@ class FtrlParams:
     l1: float = 0.05
     l2: float = 0.0
     shards: int = 4
-    rounds: int = 6
+    rounds: int = 4
     bits: int = 18
 
 
@@ -139,7 +139,7 @@ def train(
     text: str = "text",
     label: str = "quality",
     key: str = "doc_id",
-    max_rows: int = 12_000,
+    max_rows: int = 6_000,
     params: FtrlParams | None = None,
 ) -> np.ndarray:
     """Weights by bucket, the intercept last.
@@ -163,17 +163,19 @@ def train(
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owner, bucket, value = features(batch.column("text").to_pylist(), bits)
-            cuts = np.searchsorted(owner, np.arange(batch.num_rows + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("place"),
-                    batch.column("label"),
-                    pa.ListArray.from_arrays(cuts, pa.array(bucket.astype(np.int32))),
-                    pa.ListArray.from_arrays(cuts, pa.array(value.astype(np.float32))),
-                ],
-                names=["place", "label", "bucket", "value"],
-            )
+            texts = batch.column("text").to_pylist()
+            for start, stop in slices(texts):
+                owner, bucket, value = features(texts[start:stop], bits)
+                cuts = np.searchsorted(owner, np.arange(stop - start + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("place").slice(start, stop - start),
+                        batch.column("label").slice(start, stop - start),
+                        pa.ListArray.from_arrays(cuts, pa.array(bucket.astype(np.int32))),
+                        pa.ListArray.from_arrays(cuts, pa.array(value.astype(np.float32))),
+                    ],
+                    names=["place", "label", "bucket", "value"],
+                )
 
     vectorised = stage.table(
         sample.select("place", "label", "text")
@@ -223,8 +225,11 @@ def predict(docs: DataFrame, weights: np.ndarray, text: str = "text", keep: list
         known = shared.value
         bits = int(np.log2(len(known) - 1))
         for batch in batches:
-            owner, bucket, value = features(batch.column("__text").to_pylist(), bits)
-            dots = np.bincount(owner, weights=known[bucket] * value, minlength=batch.num_rows) + known[-1]
+            texts = batch.column("__text").to_pylist()
+            dots = np.full(len(texts), known[-1])
+            for start, stop in slices(texts):
+                owner, bucket, value = features(texts[start:stop], bits)
+                dots[start:stop] += np.bincount(owner, weights=known[bucket] * value, minlength=stop - start)
             scores = 1 / (1 + np.exp(-np.clip(dots, -35, 35)))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in names), pa.array(scores)], names=[*names, "score"]
