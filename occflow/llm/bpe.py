@@ -30,6 +30,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 SHORT = 64
 CACHE = 200_000
@@ -239,7 +240,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: tu
             ids = pa.array([encoder.encode(t) for t in batch.column("__text").to_pylist()], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), ids], names=[*keep, "ids"])
 
-    return _texts(docs, text, keep).mapInArrow(run, docs.select(*[f"`{c}`" for c in keep]).schema.add("ids", "array<int>"))
+    return _texts(docs, text, keep).mapInArrow(run, docs.select(*[f"`{c}`" for c in keep]).schema.add("ids", ArrayType(IntegerType())))
 
 
 def decode_rows(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFrame:
@@ -254,7 +255,7 @@ def decode_rows(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> Da
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), texts], names=[*names, "decoded"])
 
     kept = rows.select(*[f"`{c}`" for c in names])
-    return kept.mapInArrow(run, kept.schema.add("decoded", "string"))
+    return kept.mapInArrow(run, StructType([*kept.schema.fields, StructField("decoded", StringType())]))
 
 
 def digests(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

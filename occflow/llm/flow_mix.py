@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from ..sources.staging import Stage
 
 BUCKET_BITS = 16
+EXCHANGES = 16
 
 
 def water_fill(sizes: dict[str | None, int], weights: tuple[int, ...], share: float, most: float) -> dict[str | None, float]:
@@ -155,8 +156,8 @@ def _positions(docs: DataFrame, stage: Stage) -> DataFrame:
 def _fill(lo: np.ndarray, size: np.ndarray, start: int, end: int) -> np.ndarray:
     """Which of the documents around the end of a stretch are taken, so that [``start``, ``end``) is met closely.
 
-    They are tried in order; then the one exchange of a taken for a larger one that
-    leaves the fewest words is made.
+    They are tried in order; then taken ones are exchanged for larger ones, each time so
+    that the fewest words are left.
     """
     left = end - max(int(lo.min()), start)
     fits = np.zeros(len(size), dtype=bool)
@@ -164,14 +165,18 @@ def _fill(lo: np.ndarray, size: np.ndarray, start: int, end: int) -> np.ndarray:
         if words <= left:
             fits[k] = True
             left -= words
-    inside, outside = np.flatnonzero(fits), np.flatnonzero(~fits)
-    if left and len(inside) and len(outside):
+    for _ in range(EXCHANGES if left else 0):
+        inside, outside = np.flatnonzero(fits), np.flatnonzero(~fits)
+        if not len(inside) or not len(outside):
+            break
         by_size = outside[np.argsort(size[outside], kind="stable")]
         at = np.searchsorted(size[by_size], size[inside] + left, side="right") - 1
         gain = np.where(at >= 0, size[by_size[np.maximum(at, 0)]] - size[inside], 0)
         best = int(np.argmax(gain))
-        if gain[best] > 0:
-            fits[inside[best]], fits[by_size[at[best]]] = False, True
+        if gain[best] <= 0:
+            break
+        fits[inside[best]], fits[by_size[at[best]]] = False, True
+        left -= int(gain[best])
     return fits
 
 
@@ -194,24 +199,24 @@ def mix(docs: DataFrame, quotas: dict[str | None, int], stage: Stage, passes: in
     names = {r["pattern"]: tuple(r["members"] or ()) for r in found}
     totals = {names[r["pattern"]]: int(r["words"]) for r in found}
     plan = route(totals, quotas, passes)
-    # A row for each stretch of each pattern and pass.
+    # Each pattern's stretches, pass by pass. A stored table has a known size, by which
+    # Spark decides how to join it; documents needn't move for a small one.
     cuts = []
     for r in found:
+        own = []
         for k, stretches in enumerate(plan[names[r["pattern"]]]):
             at = 0
             for j, (source, words) in enumerate(stretches):
                 last = j == len(stretches) - 1 and at + words < r["words"]
                 reach = -(-window * r["words"] // max(r["n"], 1)) if last else 0
-                cuts.append((r["pattern"], k, source, at, at + words, last, int(reach)))
+                own.append((k, at, at + words, source, last, int(reach)))
                 at += words
-    schema = "__pattern string, round int, source string, low long, high long, last boolean, reach long"
-    stretches = docs.sparkSession.createDataFrame(cuts, schema)
-    by_pattern = stretches.groupBy("__pattern").agg(
-        F.array_sort(F.collect_list(F.struct("round", "low", "high", "source", "last", "reach"))).alias("cuts")
-    )
+        cuts.append((r["pattern"], own))
+    stretch = "struct<round:int,low:bigint,high:bigint,source:string,last:boolean,reach:bigint>"
+    by_pattern = docs.sparkSession.createDataFrame(cuts, f"__pattern string, cuts array<{stretch}>")
+    by_pattern = stage.table(by_pattern, "cuts")
     places = _positions(docs, stage)
-    placed = places.join(by_pattern, places["pattern"] == by_pattern["__pattern"], "left").drop("__pattern")
-    placed = placed.withColumn("cuts", F.coalesce("cuts", F.expr("cast(array() as array<struct<round:int,low:bigint,high:bigint,source:string,last:boolean,reach:bigint>>)")))
+    placed = places.join(by_pattern, places["pattern"] == by_pattern["__pattern"]).drop("__pattern")
     some = F.col("size") > 0
     middle = F.col("lo") + F.col("size") / 2
 
