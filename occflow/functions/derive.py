@@ -50,11 +50,11 @@ def with_run_columns(df: DataFrame) -> DataFrame:
 
 def with_obs_introduced(df: DataFrame) -> DataFrame:
     """Introduced observations of modelled species; common species count none."""
-    modelled = F.col("is_ranges_species") == 1
+    modelled = F.col("is_modelled") == 1
     return df.withColumn(
         "obs_introduced",
         F.when(modelled & (F.col("filter_group") == "common"), 0).when(
-            modelled, F.col("obs_ranges_rare") - F.col("obs_ranges_rare_native")
+            modelled, F.col("obs_rare") - F.col("obs_rare_native")
         ),
     )
 
@@ -63,8 +63,8 @@ def with_obs_total(df: DataFrame) -> DataFrame:
     group = F.col("filter_group")
     return df.withColumn(
         "obs_total",
-        F.when(group == "common", F.col("obs_ranges_common")).when(
-            group == "rare", F.col("obs_ranges_rare")
+        F.when(group == "common", F.col("obs_common")).when(
+            group == "rare", F.col("obs_rare")
         ),
     )
 
@@ -88,7 +88,7 @@ def flag_regions(country: DataFrame, fix_french_west_indies: bool = False) -> Da
     )
 
 
-def percent_of(part: Column, whole: Column) -> Column:
+def percent_of(part: Column, whole: Column, kind: str = "decimal(4,1)") -> Column:
     """Share in percent with one decimal, rounded half up. Fails when ``whole`` is 0."""
     ratio = part.cast("decimal(20,0)") / whole.cast("decimal(20,0)")
-    return (ratio * F.lit(100).cast("decimal(3,0)")).cast("decimal(4,1)")
+    return (ratio * F.lit(100).cast("decimal(3,0)")).cast(kind)

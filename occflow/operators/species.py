@@ -57,11 +57,11 @@ def with_growth_form_confidence(species: DataFrame, growth_forms: DataFrame) ->
 
 def with_filter_group(species: DataFrame, metadata: DataFrame) -> DataFrame:
     return update_from(
-        species.withColumn("is_ranges_species", F.lit(0)),
+        species.withColumn("is_modelled", F.lit(0)),
         metadata,
         "species",
         C.SPECIES,
-        {"is_ranges_species": F.lit(1), "filter_group": "filter_group"},
+        {"is_modelled": F.lit(1), "filter_group": "filter_group"},
     )
 
 
@@ -72,16 +72,16 @@ def with_filter_counts(species: DataFrame, crosstab: DataFrame) -> DataFrame:
         "species",
         "species",
         {
-            "obs_ranges_common": F.col("`8. observation_type`"),
-            "obs_ranges_rare": F.col("`6. year>=1970`"),
-            "obs_ranges_rare_native": F.col("`7. is_introduced`"),
+            "obs_common": F.col("`8. observation_type`"),
+            "obs_rare": F.col("`6. year>=1970`"),
+            "obs_rare_native": F.col("`7. is_introduced`"),
         },
     )
 
 
-def ranges_species_final(species: DataFrame) -> DataFrame:
+def modelled_species(species: DataFrame) -> DataFrame:
     return (
-        species.filter((F.col("is_ranges_species") == 1) & (F.col(C.STATUS) == C.ACCEPTED))
+        species.filter((F.col("is_modelled") == 1) & (F.col(C.STATUS) == C.ACCEPTED))
         .select(
             "species",
             "genus",
@@ -109,7 +109,7 @@ def introduced_summary(
         .transform(with_filter_counts, crosstab)
         .transform(derive.with_obs_introduced)
         .transform(derive.with_obs_total)
-        .transform(ranges_species_final)
+        .transform(modelled_species)
     )
 
 

@@ -70,17 +70,14 @@ def drop_names(observations: DataFrame, names: DataFrame) -> DataFrame:
 
 def distinct_taxa(observations: DataFrame, species: DataFrame) -> DataFrame:
     """Distinct taxa, with author, of the observations of the given species."""
-    return (
-        observations.join(species.select(C.SPECIES), C.SPECIES, "left_semi")
-        .select(
-            "scrubbed_family",
-            C.SPECIES,
-            "scrubbed_taxon_name_no_author",
-            "scrubbed_author",
-            "scrubbed_taxonomic_status",
-        )
-        .distinct()
-    )
+    taxa = observations.select(
+        "scrubbed_family",
+        C.SPECIES,
+        "scrubbed_taxon_name_no_author",
+        "scrubbed_author",
+        "scrubbed_taxonomic_status",
+    ).distinct()
+    return taxa.join(species.select(C.SPECIES), C.SPECIES, "left_semi").select(*taxa.columns)
 
 
 def species_rank_taxa(taxa: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ def _asc(*names: str) -> list[Column]:
 
 
 def backfill_dates(raw: DataFrame, occ: DataFrame) -> DataFrame:
-    """Take event dates from the occurrences by id and derive year and decade."""
+    """Take event dates from the occurrences by id, the earliest of each, and derive year and decade."""
     dated = occ.filter(F.col("event_date").isNotNull()).select(C.OBS_ID, "event_date")
     return (
         update_from(
@@ -36,7 +36,6 @@ def backfill_dates(raw: DataFrame, occ: DataFrame) -> DataFrame:
             C.OBS_ID,
             C.OBS_ID,
             {"event_date": "event_date"},
-            unique=True,
         )
         .transform(derive.with_event_year)
         .transform(derive.with_decade)
@@ -128,13 +127,14 @@ def undated_plots(data: DataFrame) -> DataFrame:
     )
 
 
-def undated_by_type(data: DataFrame, sample_size: int = 1_000_000) -> DataFrame:
-    """Undated rows per type, and their percentage of a fixed sample size."""
+def undated_by_type(data: DataFrame, sample_size: int | None = None) -> DataFrame:
+    """Undated rows per type, and their percentage of ``sample_size``, or else of all of ``data``."""
+    whole = data.count() if sample_size is None else sample_size
     return (
         data.filter(F.col("event_date").isNull())
         .groupBy("observation_type")
         .agg(_n().alias("rows"))
-        .withColumn("prop_rows", derive.percent_of(F.col("rows"), F.lit(sample_size)))
+        .withColumn("prop_rows", derive.percent_of(F.col("rows"), F.lit(whole), "decimal(20,1)"))
     )
 
 
@@ -242,12 +242,8 @@ def _with_occurrence(raw: DataFrame, occ: DataFrame, *occ_columns: str) -> DataF
 
 
 def species_counts(raw: DataFrame, names: Names) -> DataFrame:
-    return (
-        with_names(raw, names)
-        .groupBy(F.col(C.SPECIES).alias("species"))
-        .agg(_n().alias("observations"))
-        .orderBy(*_asc("species"))
-    )
+    counts = raw.groupBy(F.col(C.SPECIES).alias("species")).agg(_n().alias("observations"))
+    return with_names(counts, names, "species").orderBy(*_asc("species"))
 
 
 def species_in_country(raw: DataFrame, occ: DataFrame, names: Names, country: str) -> DataFrame:

@@ -213,7 +213,7 @@ def legacy_run(
 
 
 def export_legacy(observations: DataFrame, species: DataFrame, path: str) -> None:
-    sinks.export_species_list(observations, f"{path}/ranges_species")
+    sinks.export_species_list(observations, f"{path}/species_list")
     sinks.export_by_species(observations, f"{path}/species", header=False)
     sinks.export_csv(sinks.species_attributes(species), f"{path}/species_attributes.csv")
 
@@ -225,8 +225,9 @@ def import_species(species_list: DataFrame, occ: DataFrame) -> DataFrame:
     """
     species = derive.with_species_from_underscore(species_list)
     names = species.select(F.col("species").alias(C.SPECIES))
-    attributes = first_per_key(
-        occ.join(names, C.SPECIES, "left_semi"), C.SPECIES, ["scrubbed_taxonomic_status", C.GROUP]
+    # Reduced first, so that occurrences never move row by row for the list.
+    attributes = first_per_key(occ, C.SPECIES, ["scrubbed_taxonomic_status", C.GROUP]).join(
+        names, C.SPECIES, "left_semi"
     )
     return update_from(
         species,
@@ -266,8 +267,7 @@ def flagging_run(
     """Earlier flagging run over an existing raw table.
 
     Attributes come from the metadata, native status from the occurrences by id.
-    A raw row without an occurrence counts as introduced. ``raw`` and ``occ`` have
-    unique ids.
+    A raw row without an occurrence counts as introduced. No row of ``raw`` multiplies.
     """
     ob_flag, species_flag = f"is_range_model_ob_{run_code}", f"is_range_model_species_{run_code}"
     reset = [C.STATUS, C.GROUP, C.IS_VASC, "native_status", "is_introduced", ob_flag]
@@ -306,7 +306,10 @@ def update_attributes(raw: DataFrame, metadata: DataFrame, stage: Stage) -> Data
 
 
 def update_native_status(raw: DataFrame, occ: DataFrame, stage: Stage) -> DataFrame:
-    """Fill native status by id from the occurrences of the species in ``raw``."""
+    """Fill native status by id from the occurrences of the species in ``raw``.
+
+    Of several occurrences of one id the first counts, ascending with nulls last.
+    """
     names = stage.table(
         raw.select(C.SPECIES).filter(filters.has_species()).distinct(), "raw_species"
     )
@@ -319,16 +322,15 @@ def update_native_status(raw: DataFrame, occ: DataFrame, stage: Stage) -> DataFr
         C.OBS_ID,
         C.OBS_ID,
         {"native_status": "native_status", "is_introduced": "is_introduced"},
-        unique=True,
     )
 
 
 def export_flagged(result: FlaggedRun, run_code: str, path: str) -> None:
     used = result.observations.filter(F.col(f"is_range_model_ob_{run_code}") == 1)
     sinks.export_species_list(
-        result.observations, f"{path}/ranges_species_all", column=C.SPECIES
+        result.observations, f"{path}/species_list_all", column=C.SPECIES
     )
-    sinks.export_species_list(used, f"{path}/ranges_species_{run_code}", column=C.SPECIES)
+    sinks.export_species_list(used, f"{path}/species_list_{run_code}", column=C.SPECIES)
     sinks.export_by_species(used, f"{path}/species", header=False)
     sinks.export_csv(
         sinks.metadata_attributes(result.metadata, f"is_range_model_species_{run_code}"),

@@ -9,13 +9,11 @@ from pyspark.sql import functions as F
 
 from occflow import constants as C
 from occflow.sources.readers import CSV_DIALECT
-from occflow.sources.staging import Stage, hadoop_path
+from occflow.sources.staging import hadoop_path
 
 SPECIES_DIR = "species_file"
 POINT_COLUMNS = (C.OBS_ID, f"{C.NOSPACE} AS species", "latitude", "longitude")
 
-# Above this many rows a species gets several files. About 1 GB of points.
-ROWS_PER_FILE = 20_000_000
 
 
 def ensure_schema(spark: SparkSession, name: str) -> None:
@@ -27,7 +25,7 @@ def save_run_table(df: DataFrame, base: str, name: str, cluster_by: Sequence[str
 
     ``base`` is a directory, or a catalog schema when it has no slash. Rows
     sorted by ``cluster_by`` let later reads of single keys skip most of the
-    data; ranges that end in a unique column also divide a key of many rows.
+    data; intervals that end in a unique column also divide a key of many rows.
     """
     spark = df.sparkSession
     if cluster_by:
@@ -60,48 +58,21 @@ def export_species_list(observations: DataFrame, path: str, column: str = C.NOSP
     export_csv(species_list(observations, column), path, header=False)
 
 
-def by_species(
-    observations: DataFrame,
-    columns: Sequence[str] = POINT_COLUMNS,
-    rows_per_file: int = ROWS_PER_FILE,
-    stage: Stage | None = None,
-) -> DataFrame:
-    """Lay observations out for one file per species, ordered by id.
-
-    Rows are cut into ranges of species. A species above ``rows_per_file`` is cut
-    further by id, so that no task has to write it alone; its files, in name
-    order, are still in id order. Every other species stays in one file.
-    """
-    spark = observations.sparkSession
-    stage = stage or Stage(spark)
-    species = observations.filter(F.col(C.NOSPACE).isNotNull())
-    counts = stage.table(
-        species.groupBy(C.NOSPACE).agg(F.count(F.lit(1)).alias("n")), "species_counts"
-    )
-    total, largest = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.max("n")).first()
+def by_species(observations: DataFrame, columns: Sequence[str] = POINT_COLUMNS) -> DataFrame:
+    """Lay observations out by species, ordered by id.
 
+    Rows are cut into intervals of species and id, the same way whatever a species
+    holds, so a hot one spreads over tasks. A species that crosses an interval's end
+    gets a further part; parts are in id order by name. Adaptive execution sizes the
+    intervals by bytes.
+    """
     # The key is repeated because the partition column is not part of the files.
     # It must not be nullable, or the writer would sort again and lose the id order.
-    laid_out = species.selectExpr(
+    laid_out = observations.filter(F.col(C.NOSPACE).isNotNull()).selectExpr(
         *columns, f"coalesce({C.NOSPACE}, '') AS {SPECIES_DIR}", f"{C.OBS_ID} AS __id"
     )
-    ranges = [F.col(SPECIES_DIR)]
-    if total and largest > rows_per_file:
-        # At most total / rows_per_file species. Staged, so that Spark knows how few.
-        large = stage.table(
-            counts.filter(F.col("n") > rows_per_file).select(
-                F.col(C.NOSPACE).alias(SPECIES_DIR), F.lit(True).alias("__large")
-            ),
-            "large_species",
-        )
-        laid_out = laid_out.join(large, SPECIES_DIR, "left")
-        ranges.append(F.when(F.col("__large"), F.col("__id")))
-
-    partitions = max(spark.sparkContext.defaultParallelism, -(-total // rows_per_file))
     return (
-        laid_out.repartitionByRange(partitions, *ranges)
-        .sortWithinPartitions(SPECIES_DIR, "__id")
-        .drop("__id", "__large")
+        laid_out.repartitionByRange(SPECIES_DIR, "__id").sortWithinPartitions(SPECIES_DIR, "__id").drop("__id")
     )
 
 
@@ -110,24 +81,19 @@ def export_by_species(
     path: str,
     columns: Sequence[str] = POINT_COLUMNS,
     header: bool = True,
-    rows_per_file: int = ROWS_PER_FILE,
 ) -> None:
     """One directory per species in a single job, in place of one query per species."""
-    stage = Stage(observations.sparkSession)
-    try:
-        (
-            by_species(observations, columns, rows_per_file, stage)
-            .write.options(header=header, **CSV_DIALECT)
-            .mode("errorifexists")
-            .partitionBy(SPECIES_DIR)
-            .csv(path)
-        )
-    finally:
-        stage.clear()
+    (
+        by_species(observations, columns)
+        .write.options(header=header, **CSV_DIALECT)
+        .mode("errorifexists")
+        .partitionBy(SPECIES_DIR)
+        .csv(path)
+    )
 
 
 def flatten_by_species(spark: SparkSession, path: str) -> None:
-    """Rename an export to ``<species>.csv``, or ``<species>-<n>.csv`` for several files.
+    """Rename an export to ``<species>-<n>.csv``, numbered in id order.
 
     Optional, for readers that expect one flat folder. Moves no data, but renames
     file by file, which object stores do slowly.
@@ -140,7 +106,7 @@ def flatten_by_species(spark: SparkSession, path: str) -> None:
         files = sorted(f.getPath().toString() for f in fs.listStatus(directory.getPath()))
         stem = name.split("=", 1)[1]
         for i, source in enumerate(files):
-            target = f"{stem}.csv" if len(files) == 1 else f"{stem}-{i:05d}.csv"
+            target = f"{stem}-{i:05d}.csv"
             fs.rename(hadoop_path(spark, source)[0], hadoop_path(spark, f"{path}/{target}")[0])
         fs.delete(directory.getPath(), True)
 

@@ -6,33 +6,17 @@ real size, which is what lets Spark decide by size whether to broadcast it.
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
-
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names.
-
-    Only a local session without the setting gets a temporary folder; a cluster
-    has to name one that all its machines see.
-    """
+    """The folder that ``spark.checkpoint.dir`` names, which all machines have to see."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not root:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    if context.applicationId not in _local_roots:
-        created = tempfile.mkdtemp(prefix="occflow-")
-        _local_roots[context.applicationId] = created
-        atexit.register(shutil.rmtree, created, ignore_errors=True)
-    return _local_roots[context.applicationId]
+    return root
 
 
 def hadoop_path(spark: SparkSession, path: str):

@@ -9,6 +9,7 @@ from occflow import constants as C
 from occflow.functions import derive
 from occflow.operators import lookups, species, stats, status, taxonomy
 from occflow.plans import checks, runs
+from verification import fixtures
 
 OBS = """scrubbed_species_binomial string, taxonomic_status string,
     higher_plant_group string, is_vasc int, taxonobservation_id long"""
@@ -277,3 +278,22 @@ def test_duplicates(spark):
     df = spark.createDataFrame([(1,), (1,), (2,)], "k int")
     assert lookups.has_duplicates(df, ["k"], "d").first().d is True
     assert lookups.has_duplicates(df.distinct(), ["k"], "d").first().d is False
+
+
+def test_updates_by_id_keep_the_row_count(spark, sf_dir, stage):
+    """The ids of the smallest test tables repeat."""
+
+    occ = fixtures.occurrences(spark, sf_dir)
+    raw = stage.table(runs.unfiltered_run(occ), "raw")
+    assert raw.select("taxonobservation_id").distinct().count() < raw.count()
+    assert checks.backfill_dates(raw, occ).count() == raw.count()
+    metadata = fixtures.lookup(spark, sf_dir, "range_model_data_metadata")
+    assert runs.flagging_run(raw, metadata, occ, "x", stage).observations.count() == raw.count()
+
+
+def test_undated_share_of_any_size(spark):
+    data = spark.range(12_000_000).select(
+        F.lit(None).cast("date").alias("event_date"), F.lit("plot").alias("observation_type")
+    )
+    assert float(checks.undated_by_type(data).first()["prop_rows"]) == 100.0
+    assert float(checks.undated_by_type(data, 1_000_000).first()["prop_rows"]) == 1200.0

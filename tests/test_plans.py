@@ -175,11 +175,12 @@ def test_a_hot_species_is_split_when_nothing_can_be_broadcast(spark, stage, sett
         assert df.count() == expected
 
 
-def test_a_hot_species_is_divided_on_export(spark, stage):
+def test_a_hot_species_is_divided_on_export(spark, stage, settings):
+    settings(spark__sql__shuffle__partitions="20", spark__sql__adaptive__coalescePartitions__enabled="false")
     observations = stage.table(hot_observations(spark), "observations")
     sizes = [
         r["count"]
-        for r in sinks.by_species(observations, rows_per_file=10_000)
+        for r in sinks.by_species(observations)
         .groupBy(F.spark_partition_id().alias("p"))
         .count()
         .collect()
@@ -188,6 +189,29 @@ def test_a_hot_species_is_divided_on_export(spark, stage):
     assert max(sizes) < 20_000
 
 
+@pytest.mark.parametrize("build", [
+    lambda observations, names: checks.species_counts(observations, names),
+    lambda observations, names: runs.import_species(names.withColumnRenamed("species", "species_ul"), observations),
+    lambda observations, names: taxonomy.distinct_taxa(
+        observations, names.withColumnRenamed("species", "scrubbed_species_binomial")
+    ),
+])
+def test_observations_are_reduced_before_a_list_of_names(spark, stage, settings, build):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    observations = stage.table(_described(hot_observations(spark)), "observations")
+    names = stage.table(observations.select(F.col("scrubbed_species_binomial").alias("species")).distinct(), "names")
+    text = build(observations, names)._jdf.queryExecution().optimizedPlan().toString()
+    join, aggregate = text.index("Join LeftSemi"), text.index("Aggregate")
+    assert join < aggregate  # the join stands above what reduces the rows
+
+
+def _described(df):
+    for name in ("scrubbed_family", "scrubbed_taxon_name_no_author", "scrubbed_author", "scrubbed_taxonomic_status", "higher_plant_group"):
+        if name not in df.columns:
+            df = df.withColumn(name, F.lit("x"))
+    return df
+
+
 @pytest.mark.parametrize(
     "name", sorted(n for n in registry.QUERIES if n.startswith(("jn", "agg", "job", "stats", "val")))
 )

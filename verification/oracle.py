@@ -157,7 +157,9 @@ VIEWS = {
             from any0 r
             left join range_model_data_metadata m on r.scrubbed_species_binomial = m.scrubbed_species_binomial
             left join (select * from occ where scrubbed_species_binomial in (
-                    select scrubbed_species_binomial from any0)) o
+                    select scrubbed_species_binomial from any0)
+                qualify row_number() over (partition by taxonobservation_id
+                    order by native_status nulls last, is_introduced nulls last) = 1) o
                 on r.taxonobservation_id = o.taxonobservation_id) a) b""",
     "flagged_metadata": f"""select m.*, replace(scrubbed_species_binomial, ' ', '_') as species_nospace,
         {IS_VASC} as is_vasc,
@@ -168,7 +170,8 @@ VIEWS = {
             case when event_date is not null
             then cast(concat(left(cast(year0 as varchar), 3), '0') as integer) end as decade)
         from (select r.* replace (o.event_date as event_date), date_part('year', o.event_date) as year0
-            from raw r left join (select * from occ where event_date is not null) o
+            from raw r left join (select * from occ where event_date is not null
+                qualify row_number() over (partition by taxonobservation_id order by event_date) = 1) o
             on r.taxonobservation_id = o.taxonobservation_id)""",
     "profiled": """select s.*, cast(scrubbed_species_binomial in (
         select scrubbed_species_binomial from rms) as integer) as is_sdm_species from sets s""",
@@ -234,7 +237,7 @@ QUERIES = {
         where is_range_model_species_202209 = 1""",
     "snk11_dated_native": """select taxonobservation_id, species_nospace, decade from backfilled
         where taxonomic_status = 'Accepted' and is_introduced = 0""",
-    "snk12_append_stats": "select * from stats_supplemental where id <= 5",
+    "snk12_append_stats": "select * from stats_supplemental",
     # Derived columns
     "prj1_standard": f"select {STANDARD} from occ",
     "prj2_unfiltered": f"select {WIDE} from occ",
@@ -288,10 +291,10 @@ QUERIES = {
     "jn3_growth_form_confidence": """select a.species, f.gf as growth_form, gf_conf_flag as growth_form_conf
         from all_species a left join species_growth_forms f on a.species = f.species""",
     "jn4_filter_group": """select a.species, filter_group,
-            case when m.scrubbed_species_binomial is null then 0 else 1 end as is_ranges_species
+            case when m.scrubbed_species_binomial is null then 0 else 1 end as is_modelled
         from all_species a left join range_model_data_metadata m on a.species = m.scrubbed_species_binomial""",
-    "jn5_filter_counts": """select a.species, "8. observation_type" as obs_ranges_common,
-            "6. year>=1970" as obs_ranges_rare, "7. is_introduced" as obs_ranges_rare_native
+    "jn5_filter_counts": """select a.species, "8. observation_type" as obs_common,
+            "6. year>=1970" as obs_rare, "7. is_introduced" as obs_rare_native
         from all_species a left join species_observation_counts_crosstab c on a.species = c.species""",
     "jn6_metadata": """select taxonobservation_id, m.taxonomic_status, m.higher_plant_group
         from raw r left join range_model_data_metadata m using (scrubbed_species_binomial)""",

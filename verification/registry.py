@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 from collections.abc import Callable
 from functools import cached_property
 
@@ -30,6 +33,20 @@ COUNTRY = "NATION_3"
 CONTINENT = "EUROPE"
 
 
+_roots: dict[str, str] = {}
+
+
+def own_root(spark: SparkSession) -> str | None:
+    """A temporary folder, removed at exit, for a local session without a checkpoint folder."""
+    if spark.conf.get("spark.checkpoint.dir", None) or not spark.sparkContext.master.startswith("local["):
+        return None
+    application = spark.sparkContext.applicationId
+    if application not in _roots:
+        _roots[application] = tempfile.mkdtemp(prefix="occflow-")
+        atexit.register(shutil.rmtree, _roots[application], ignore_errors=True)
+    return _roots[application]
+
+
 class Inputs:
     """Input views, and run tables made from them when a query asks for them."""
 
@@ -42,7 +59,7 @@ class Inputs:
 
     @cached_property
     def stage(self) -> Stage:
-        return Stage(self.spark)
+        return Stage(self.spark, own_root(self.spark))
 
     @cached_property
     def occ(self) -> DataFrame:
@@ -218,7 +235,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     ),
     "snk12_append_stats": lambda i: stats.append_stats(
         stats.main_stats(taxonomy.species_profile(runs.extract(i.occ, SUPPLEMENTAL))),
-        stats.supplemental_rows(i.flagged_rows).filter("id <= 5"),
+        stats.supplemental_rows(i.flagged_rows),
     ),
     # Derived columns
     "prj1_standard": lambda i: i.occ.select(*ANY.columns()),
@@ -288,10 +305,10 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     ).select("species", "growth_form", "growth_form_conf"),
     "jn4_filter_group": lambda i: species_ops.with_filter_group(
         i.lookup("all_species"), i.lookup("range_model_data_metadata")
-    ).select("species", "filter_group", "is_ranges_species"),
+    ).select("species", "filter_group", "is_modelled"),
     "jn5_filter_counts": lambda i: species_ops.with_filter_counts(
         i.lookup("all_species"), i.lookup("species_observation_counts_crosstab")
-    ).select("species", "obs_ranges_common", "obs_ranges_rare", "obs_ranges_rare_native"),
+    ).select("species", "obs_common", "obs_rare", "obs_rare_native"),
     "jn6_metadata": lambda i: runs.update_attributes(
         i.raw.drop(C.STATUS, C.GROUP), i.lookup("range_model_data_metadata"), i.stage
     ).select(C.OBS_ID, C.STATUS, C.GROUP),
@@ -300,12 +317,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     ),
     "jn8_dates": lambda i: checks.backfill_dates(i.raw, i.occ).select(C.OBS_ID, "event_date"),
     "jn9_species_attributes": lambda i: lookups.first_per_key(
-        i.occ.join(
-            i.growth_forms.select(F.col("species").alias(C.SPECIES)), C.SPECIES, "left_semi"
-        ),
-        C.SPECIES,
-        ["scrubbed_taxonomic_status", C.GROUP],
-    ),
+        i.occ, C.SPECIES, ["scrubbed_taxonomic_status", C.GROUP]
+    ).join(i.growth_forms.select(F.col("species").alias(C.SPECIES)), C.SPECIES, "left_semi"),
     "jn10_is_sdm": lambda i: i.native_status,
     "jn11_shared_flag": lambda i: status.flag_shared(i.supplemental_rows.drop("obs"), i.rms),
     "jn12_listed_flag": lambda i: status.flag_listed(
@@ -405,7 +418,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "val2_null_spp": lambda i: checks.null_rates_species(i.test_data),
     "val2_country": lambda i: checks.null_introduced_by_country(i.test_data),
     "val2_dataset": lambda i: checks.undated_plots(i.test_data),
-    "val2_obs_type": lambda i: checks.undated_by_type(i.test_data),
+    "val2_obs_type": lambda i: checks.undated_by_type(i.test_data, 1_000_000),
     "val2_peek": lambda i: checks.peek_undated(i.test_data),
     "val3_region_flags": lambda i: derive.flag_regions(i.lookup("country")),
     "val4_overlap": lambda i: checks.overlap(
