@@ -8,7 +8,8 @@ flow, which is exact because only the arcs into patterns carry a cost. Last, who
 documents are selected in a seeded order until each pattern's routed words are met.
 
 Only the pattern totals reach the driver. Places in the seeded order are prefix sums
-over hash buckets and windows within a bucket, so no task holds a whole source.
+over hash buckets and windows within a bucket, so no task holds a whole source; the
+widest window has a pattern's 2 ** 16 bucket sums.
 
 Defined results: documents of size 0 (null or blank texts) are never taken. A
 document with no membership, or with an unknown one, isn't taken. Quotas above what
