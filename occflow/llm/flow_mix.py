@@ -8,8 +8,8 @@ flow, which is exact because only the arcs into patterns carry a cost. Last, who
 documents are selected in a seeded order until each pattern's routed words are met.
 
 Only the pattern totals reach the driver. Places in the seeded order are prefix sums
-over hash buckets and windows within a bucket, so no task holds a whole source; the
-widest window has a pattern's 2 ** 16 bucket sums.
+over 2 ** 8 blocks of 2 ** 8 hash buckets each, and windows within a bucket, so no task
+holds a whole source.
 
 Defined results: documents of size 0 (null or blank texts) are never taken. A
 document with no membership, or with an unknown one, isn't taken. Quotas above what
@@ -141,17 +141,23 @@ def _positions(docs: DataFrame, stage: Stage) -> DataFrame:
     """Each document's stretch [lo, hi) of words in its pattern's seeded order."""
     bucket = F.shiftrightunsigned("order", 64 - BUCKET_BITS).cast("int")
     docs = docs.withColumn("bucket", bucket)
-    sums = docs.groupBy("pattern", "bucket").agg(F.sum("size").alias("words"))
-    before = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(
-        F.col("pattern").alias("__p"),
-        F.col("bucket").alias("__b"),
-        F.coalesce(F.sum("words").over(before), F.lit(0)).alias("start"),
+    sums = stage.table(docs.groupBy("pattern", "bucket").agg(F.sum("size").alias("words")), "mix_sums")
+    sums = sums.withColumn("block", F.shiftright("bucket", BUCKET_BITS // 2))
+
+    def before(place: str, *keys: str) -> Column:
+        window = Window.partitionBy(*keys).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("words").over(window), F.lit(0))
+
+    blocks = sums.groupBy("pattern", "block").agg(F.sum("words").alias("words"))
+    blocks = blocks.select("pattern", "block", before("block", "pattern").alias("block_start"))
+    starts = sums.select("pattern", "block", "bucket", before("bucket", "pattern", "block").alias("in_block"))
+    starts = starts.join(blocks, ["pattern", "block"]).select(
+        "pattern", "bucket", (F.col("block_start") + F.col("in_block")).alias("start")
     )
     within = Window.partitionBy("pattern", "bucket").orderBy("order", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    placed = docs.join(starts, (docs["pattern"] == starts["__p"]) & (docs["bucket"] == starts["__b"]))
+    placed = docs.join(starts, ["pattern", "bucket"])
     placed = placed.withColumn("hi", F.col("start") + F.sum("size").over(within)).withColumn("lo", F.col("hi") - F.col("size"))
-    return stage.table(placed.drop("__p", "__b", "start", "bucket"), "mix_places")
+    return stage.table(placed.select(*docs.columns, "hi", "lo").drop("bucket"), "mix_places")
 
 
 def _fill(lo: np.ndarray, size: np.ndarray, start: int, end: int) -> np.ndarray:
