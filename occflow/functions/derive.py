@@ -41,10 +41,21 @@ def normalize_status(df: DataFrame) -> DataFrame:
     return df.withColumn(C.STATUS, F.when(status == C.NO_OPINION, C.UNRESOLVED).otherwise(status))
 
 
+# Each step with the column it needs.
+RUN_STEPS = (
+    (with_species_nospace, C.SPECIES),
+    (with_is_vasc, C.GROUP),
+    (with_event_year, "event_date"),
+    (with_decade, "event_year"),
+    (normalize_status, C.STATUS),
+)
+
+
 def with_run_columns(df: DataFrame) -> DataFrame:
-    """All derived columns of an extract."""
-    for step in (with_species_nospace, with_is_vasc, with_event_year, with_decade, normalize_status):
-        df = df.transform(step)
+    """The derived columns of an extract, as far as its selection holds what they come from."""
+    for step, needed in RUN_STEPS:
+        if needed in df.columns:
+            df = df.transform(step)
     return df
 
 

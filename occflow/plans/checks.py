@@ -11,7 +11,9 @@ from occflow import constants as C
 from occflow.functions import derive, filters
 from occflow.operators import stats as stats_ops
 from occflow.operators import status as status_ops
+from occflow.operators import taxonomy
 from occflow.operators.lookups import update_from
+from occflow.sources.staging import Stage
 from occflow.spec import RunSpec
 
 
@@ -222,6 +224,23 @@ def countries_in_no_checklist(occ: DataFrame) -> DataFrame:
     )
 
 
+# --- Names with several rows in a species table ---
+
+
+def repeated_species(species: DataFrame) -> DataFrame:
+    return species.groupBy(C.SPECIES).agg(_n().alias("n")).filter("n > 1").select(C.SPECIES)
+
+
+def multistatus_audit(occ: DataFrame, species: DataFrame, stage: Stage) -> tuple[DataFrame, DataFrame]:
+    """Taxa, in the occurrences, of the names that repeat in ``species``.
+
+    Returns those at species rank, and all taxa of the names that conflict even there.
+    """
+    names = stage.table(repeated_species(species), "repeated_species")
+    taxa = stage.table(taxonomy.distinct_taxa(occ, names), "taxa")
+    return taxonomy.species_rank_taxa(taxa), taxonomy.conflicting_taxa(taxa)
+
+
 # --- Spot checks of place and name ---
 
 Names = Sequence[str] | DataFrame

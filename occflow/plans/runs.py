@@ -13,7 +13,7 @@ from occflow.operators import species as species_ops
 from occflow.operators import stats as stats_ops
 from occflow.operators import status as status_ops
 from occflow.operators import taxonomy
-from occflow.operators.lookups import drop_species, first_per_key, flag_matches, update_from
+from occflow.operators.lookups import drop_species, first_per_key, flag_matches, has_duplicates, update_from
 from occflow.sources import sinks
 from occflow.sources.readers import read_species_list
 from occflow.sources.staging import Stage
@@ -52,6 +52,12 @@ def native_status(occ: DataFrame, spec: RunSpec) -> DataFrame:
     return status_ops.native_status_table(observations)
 
 
+def species_rows(occ: DataFrame, growth_forms: DataFrame, spec: RunSpec) -> DataFrame:
+    """Species table of a run, with ``obs``, without storing its observations."""
+    kept = taxonomy.mark_dropped(taxonomy.species_profile(extract(occ, spec))).filter("not is_dropped")
+    return species_ops.species_table(kept.drop("is_dropped"), growth_forms)
+
+
 def main_run(occ: DataFrame, growth_forms: DataFrame, spec: RunSpec, stage: Stage) -> Run:
     """Extract, resolve conflicting names, build the species table and statistics.
 
@@ -78,6 +84,18 @@ def supplemental_species(
     )
 
 
+def without_shared(
+    occ: DataFrame, growth_forms: DataFrame, previous: DataFrame, spec: RunSpec, stage: Stage
+) -> tuple[DataFrame, DataFrame]:
+    """Observations and species of a run, less the species of an earlier run."""
+    observations = stage.table(extract(occ, spec), "observations")
+    flagged = status_ops.flag_shared(species_rows(occ, growth_forms, spec), previous)
+    return (
+        drop_species(resolve_multistatus(observations, stage), previous),
+        flagged.filter("is_in_run1 = 0").select(*species_ops.COLUMNS),
+    )
+
+
 def remaining(species: DataFrame) -> DataFrame:
     return species.filter((F.col("is_in_run1") == 0) & (F.col("is_in_nsr") == 0))
 
@@ -170,6 +188,14 @@ def export_run(result: Run, out_dir: str, spec: RunSpec) -> None:
     sinks.export_csv(sinks.species_attributes(result.rms), f"{folder}/{spec.attributes_file}")
 
 
+def _prepare(spark: SparkSession, base: str, folder: str | None) -> None:
+    """Before any work: refuse an output folder that is there, make the schema that ``base`` names."""
+    if folder:
+        sinks.guard_output(spark, folder)
+    if "/" not in base:
+        sinks.ensure_schema(spark, base)
+
+
 def run_and_export(
     occ: DataFrame,
     growth_forms: DataFrame,
@@ -180,10 +206,7 @@ def run_and_export(
 ) -> Run:
     """The complete job. Checks the output first and clears what it staged."""
     spark = occ.sparkSession
-    if spec.save:
-        sinks.guard_output(spark, f"{out_dir}/{spec.data_dir}")
-    if "/" not in base:
-        sinks.ensure_schema(spark, base)
+    _prepare(spark, base, f"{out_dir}/{spec.data_dir}" if spec.save else None)
     stage = Stage(spark)
     try:
         stored = save_run(run(occ, growth_forms, spec, stage, previous), base, spec)
@@ -193,10 +216,25 @@ def run_and_export(
     return stored
 
 
+def unfiltered_spec(run_code: str = "unfiltered", limit: int | None = None) -> RunSpec:
+    return RunSpec(run_code, quality="none", introduced="any", select="unfiltered", limit=limit)
+
+
 def unfiltered_run(occ: DataFrame, run_code: str = "unfiltered", limit: int | None = None) -> DataFrame:
     """Every observation with the wide selection and the derived columns."""
-    spec = RunSpec(run_code, quality="none", introduced="any", select="unfiltered", limit=limit)
-    return extract(occ, spec)
+    return extract(occ, unfiltered_spec(run_code, limit))
+
+
+def run_unfiltered(
+    occ: DataFrame, base: str, out_dir: str, run_code: str = "unfiltered", limit: int | None = None
+) -> DataFrame:
+    """The complete unfiltered job: checks the output, stores the table, exports the stored one."""
+    spec = unfiltered_spec(run_code, limit)
+    folder = f"{out_dir}/{spec.data_dir}"
+    _prepare(occ.sparkSession, base, folder)
+    stored = sinks.save_run_table(extract(occ, spec), base, spec.rmd_table)
+    export_unfiltered(stored, folder)
+    return stored
 
 
 def export_unfiltered(observations: DataFrame, path: str) -> None:
@@ -218,6 +256,20 @@ def export_legacy(observations: DataFrame, species: DataFrame, path: str) -> Non
     sinks.export_csv(sinks.species_attributes(species), f"{path}/species_attributes.csv")
 
 
+def run_legacy(
+    occ: DataFrame, growth_forms: DataFrame, spec: RunSpec, base: str, out_dir: str
+) -> tuple[DataFrame, DataFrame]:
+    """The complete one-filter job; the species table comes from the stored observations."""
+    folder = f"{out_dir}/{spec.data_dir}"
+    _prepare(occ.sparkSession, base, folder if spec.save else None)
+    observations = sinks.save_run_table(extract(occ, spec), base, spec.rmd_table)
+    species = species_ops.species_table_by_group(observations, growth_forms)
+    species = sinks.save_run_table(species, base, spec.rms_table)
+    if spec.save:
+        export_legacy(observations, species, folder)
+    return observations, species
+
+
 def import_species(species_list: DataFrame, occ: DataFrame) -> DataFrame:
     """Look up status and plant group of imported names in the occurrences.
 
@@ -269,7 +321,7 @@ def flagging_run(
     Attributes come from the metadata, native status from the occurrences by id.
     A raw row without an occurrence counts as introduced. No row of ``raw`` multiplies.
     """
-    ob_flag, species_flag = f"is_range_model_ob_{run_code}", f"is_range_model_species_{run_code}"
+    ob_flag = f"is_range_model_ob_{run_code}"
     reset = [C.STATUS, C.GROUP, C.IS_VASC, "native_status", "is_introduced", ob_flag]
     cleared = (
         raw.drop(*reset)
@@ -279,17 +331,43 @@ def flagging_run(
     described = update_attributes(cleared, metadata, stage).transform(derive.with_is_vasc)
     with_status = update_native_status(described, occ, stage)
     flagged = with_status.withColumn(ob_flag, F.when(filters.accepted_native(), 1).otherwise(0))
+    return FlaggedRun(flagged, flag_metadata(metadata, flagged, run_code))
+
 
-    described_metadata = (
-        metadata.drop(C.IS_VASC, C.NOSPACE, species_flag)
+def flag_metadata(metadata: DataFrame, flagged: DataFrame, run_code: str) -> DataFrame:
+    """The metadata with derived columns, and whether a species has flagged observations."""
+    flag = f"is_range_model_species_{run_code}"
+    described = (
+        metadata.drop(C.IS_VASC, C.NOSPACE, flag)
         .transform(derive.with_species_nospace)
         .transform(derive.with_is_vasc)
     )
-    used = flagged.filter(F.col(ob_flag) == 1).select(C.SPECIES)
-    return FlaggedRun(
-        observations=flagged,
-        metadata=flag_matches(described_metadata, used, C.SPECIES, C.SPECIES, species_flag),
+    used = flagged.filter(F.col(f"is_range_model_ob_{run_code}") == 1).select(C.SPECIES)
+    return flag_matches(described, used, C.SPECIES, C.SPECIES, flag)
+
+
+def run_flagging(
+    raw: DataFrame, metadata: DataFrame, occ: DataFrame, run_code: str, base: str, out_dir: str
+) -> FlaggedRun:
+    """The complete flagging job: checks the output, stores both tables, exports the stored ones.
+
+    The tables have names of their own, as ``raw`` and ``metadata`` are read while these are written.
+    """
+    spark = raw.sparkSession
+    folder = f"{out_dir}/rm_data_{run_code}"
+    _prepare(spark, base, folder)
+    stage = Stage(spark)
+    try:
+        flagged = flagging_run(raw, metadata, occ, run_code, stage).observations
+        observations = sinks.save_run_table(flagged, base, f"range_model_data_flagged_{run_code}")
+    finally:
+        stage.clear()
+    described = flag_metadata(metadata, observations, run_code)
+    stored = FlaggedRun(
+        observations, sinks.save_run_table(described, base, f"range_model_metadata_flagged_{run_code}")
     )
+    export_flagged(stored, run_code, folder)
+    return stored
 
 
 def update_attributes(raw: DataFrame, metadata: DataFrame, stage: Stage) -> DataFrame:
@@ -338,6 +416,36 @@ def export_flagged(result: FlaggedRun, run_code: str, path: str) -> None:
     )
 
 
+def export_introduced(
+    all_species: DataFrame,
+    growth_forms: DataFrame,
+    metadata: DataFrame,
+    crosstab: DataFrame,
+    base: str,
+    path: str,
+    name: str = "modelled_species",
+) -> DataFrame:
+    """Store the summary of introduced observations, and write it ordered by species."""
+    _prepare(all_species.sparkSession, base, path)
+    summary = species_ops.introduced_summary(all_species, growth_forms, metadata, crosstab)
+    stored = sinks.save_run_table(summary, base, name)
+    sinks.export_csv(stored.orderBy(F.col("species").asc_nulls_last()), path)
+    return stored
+
+
+def combine_and_export(
+    main: DataFrame, supplemental: DataFrame, base: str, path: str, name: str
+) -> tuple[DataFrame, DataFrame]:
+    """Store the species of two runs together and write them ordered by name.
+
+    Returns the stored table, and one row that says if a species occurs more than once.
+    """
+    _prepare(main.sparkSession, base, path)
+    stored = sinks.save_run_table(species_ops.combine(main, supplemental), base, name)
+    sinks.export_csv(stored.orderBy(F.col(C.NOSPACE).asc_nulls_last()), path)
+    return stored, has_duplicates(stored, [C.SPECIES], "has_non_unique_species")
+
+
 def sample_tables(
     raw: DataFrame, metadata: DataFrame, rows: int = 100
 ) -> tuple[DataFrame, DataFrame]:

@@ -29,8 +29,16 @@ def read_occurrences(spark: SparkSession, source: str) -> DataFrame:
     return read_table(spark, source)
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | StructType, header: bool) -> DataFrame:
-    options = {**CSV_DIALECT, "emptyValue": "", "multiLine": False}
+def read_csv(
+    spark: SparkSession, path: str, schema: str | StructType, header: bool, free_text: bool = False
+) -> DataFrame:
+    """Files of our dialect, as written: an empty field is null, a quoted empty one an empty string.
+
+    ``free_text`` allows line breaks within fields. A file is then read by one task, so
+    keep such files moderate in size.
+    """
+    # A text that no field holds stands for null, so that a quoted empty field isn't null.
+    options = {**CSV_DIALECT, "emptyValue": "", "nullValue": "\x00", "multiLine": free_text}
     return spark.read.schema(schema).options(header=header, **options).csv(path)
 
 

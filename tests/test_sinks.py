@@ -112,7 +112,20 @@ def test_csv_dialect(spark, tmp_path):
             "5,back\\slash",
         ]
     back = readers.read_csv(spark, path, "i int, s string", header=True)
-    assert rows(back.filter("i <> 2")) == rows(df.filter("i <> 2"))
+    assert rows(back) == rows(df)
+
+
+def test_free_text_comes_back_as_written(spark, tmp_path):
+    texts = ["", None, "a\nb", 'a "b",\nc', "x\r\ny", " "]
+    made = [(i, "Some_one", t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(made, "taxonobservation_id long, species_nospace string, locality string")
+    path = str(tmp_path / "species")
+    sinks.export_by_species(df, path, columns=["*"])
+    schema = "taxonobservation_id long, species_nospace string, locality string, species_file string"
+    back = readers.read_csv(spark, path, schema, header=True, free_text=True)
+    found = {r[0]: r[2] for r in back.collect()}
+    assert len(found) == len(texts)
+    assert found == dict(enumerate(texts))
 
 
 def test_existing_output_is_refused(spark, tmp_path):

@@ -472,6 +472,20 @@ def _needed(sql: str) -> list[str]:
     return [name for name in VIEWS if name in words]
 
 
+# Whole jobs give what their parts give.
+QUERIES |= {
+    "job7_export": QUERIES["snk5_roundtrip"],
+    "job9_supplemental_rms": QUERIES["job6_final_rms"],
+    "job9_native_status": QUERIES["job4_native_status"],
+    "job10_export": QUERIES["snk7_all_columns"],
+    "job12_export": f"""select {POINTS}, species_nospace as species_file from flagged_raw
+        where is_range_model_ob_202209 = 1""",
+    "job13_export": QUERIES["snk6_headerless"],
+    "job14_export": QUERIES["job14_introduced"],
+    "job15_export": QUERIES["job15_combined"],
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for name, sql in QUERIES.items():

@@ -87,9 +87,7 @@ class Inputs:
         return taxonomy.species_profile(runs.extract(self.occ, MAIN))
 
     def species_rows(self, spec: RunSpec) -> DataFrame:
-        profile = taxonomy.species_profile(runs.extract(self.occ, spec))
-        kept = taxonomy.mark_dropped(profile).filter("not is_dropped").drop("is_dropped")
-        return species_ops.species_table(kept, self.growth_forms)
+        return runs.species_rows(self.occ, self.growth_forms, spec)
 
     @cached_property
     def rms(self) -> DataFrame:
@@ -130,10 +128,16 @@ class Inputs:
         return checks.species_status_profile(self.occ, self.rms)
 
     @cached_property
-    def taxa(self) -> DataFrame:
-        repeated = self.rms.groupBy(C.SPECIES).count().filter("count > 1").select(C.SPECIES)
-        names = self.stage.table(repeated, "repeated_species")
-        return self.stage.table(taxonomy.distinct_taxa(self.occ, names), "taxa")
+    def audit(self) -> tuple[DataFrame, DataFrame]:
+        return checks.multistatus_audit(self.occ, self.rms, self.stage)
+
+    @cached_property
+    def after_shared(self) -> tuple[DataFrame, DataFrame]:
+        return runs.without_shared(self.occ, self.growth_forms, self.rms, SUPPLEMENTAL, self.stage)
+
+    @cached_property
+    def supplemental_stored(self) -> runs.Run:
+        return runs.save_run(self.supplemental, self.stage.path("run"), SUPPLEMENTAL)
 
     def csv_schema(self, df: DataFrame) -> str:
         return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
@@ -154,10 +158,14 @@ def _by_species_roundtrip(
     path = i.stage.path("by_species")
     chosen = list(columns or sinks.POINT_COLUMNS)
     sinks.export_by_species(observations, path, columns=chosen, header=header)
-    files = i.csv_schema(observations.selectExpr(*chosen))
-    return readers.read_csv(
-        i.spark, path, f"{files}, {sinks.SPECIES_DIR} string", header=header
-    )
+    return _species_files(i, path, observations.selectExpr(*chosen), header, columns is not None)
+
+
+def _species_files(
+    i: Inputs, path: str, like: DataFrame, header: bool = True, free_text: bool = False
+) -> DataFrame:
+    schema = f"{i.csv_schema(like)}, {sinks.SPECIES_DIR} string"
+    return readers.read_csv(i.spark, path, schema, header, free_text)
 
 
 def _csv_roundtrip(i: Inputs, df: DataFrame, header: bool = True) -> DataFrame:
@@ -201,10 +209,54 @@ def _saved_run(i: Inputs) -> DataFrame:
         runs.extract(i.occ, MAIN),
         i.stage.path("saved"),
         MAIN.rmd_table,
-        cluster_by=[C.SPECIES, C.OBS_ID],
     )
 
 
+def _points(df: DataFrame) -> DataFrame:
+    return df.selectExpr(*sinks.POINT_COLUMNS)
+
+
+def _main_files(i: Inputs) -> DataFrame:
+    out = i.stage.path("out")
+    stored = _stored_main(i)
+    runs.export_run(stored, out, MAIN)
+    return _species_files(i, f"{out}/{MAIN.data_dir}/species", _points(stored.rmd))
+
+
+def _unfiltered_files(i: Inputs) -> DataFrame:
+    out = i.stage.path("out")
+    stored = runs.run_unfiltered(i.occ, i.stage.path("run"), out)
+    return _species_files(i, f"{out}/rm_data_unfiltered/species", stored, free_text=True)
+
+
+def _flagged_files(i: Inputs) -> DataFrame:
+    raw = i.stage.table(runs.extract(i.occ, ANY), "raw")
+    metadata, out = i.lookup("range_model_data_metadata"), i.stage.path("out")
+    stored = runs.run_flagging(raw, metadata, i.occ, FLAG_RUN, i.stage.path("run"), out)
+    path = f"{out}/rm_data_{FLAG_RUN}/species"
+    return _species_files(i, path, _points(stored.observations), header=False)
+
+
+def _legacy_files(i: Inputs) -> DataFrame:
+    out = i.stage.path("out")
+    stored, _ = runs.run_legacy(i.occ, i.growth_forms, LEGACY, i.stage.path("run"), out)
+    return _species_files(i, f"{out}/{LEGACY.data_dir}/species", _points(stored), header=False)
+
+
+def _introduced_file(i: Inputs) -> DataFrame:
+    names = ("all_species", "species_growth_forms", "range_model_data_metadata", "species_observation_counts_crosstab")
+    path = i.stage.path("csv")
+    stored = runs.export_introduced(*[i.lookup(n) for n in names], i.stage.path("run"), path)
+    return readers.read_csv(i.spark, path, i.csv_schema(stored), header=True)
+
+
+def _combined_file(i: Inputs) -> DataFrame:
+    path = i.stage.path("csv")
+    added = i.supplemental_stored.rms
+    stored, _ = runs.combine_and_export(i.rms, added, i.stage.path("run"), path, "species_all")
+    return readers.read_csv(i.spark, path, i.csv_schema(stored), header=True)
+
+
 def _iso(*codes: str):
     return F.col("iso_alpha3").isin(list(codes))
 
@@ -335,9 +387,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     ),
     "jn18_multistatus_obs": lambda i: checks.with_names(
         i.occ.select(C.OBS_ID, C.SPECIES, "scrubbed_taxonomic_status"),
-        i.stage.table(
-            i.rms.groupBy(C.SPECIES).count().filter("count > 1").select(C.SPECIES), "repeated"
-        ),
+        i.stage.table(checks.repeated_species(i.rms), "repeated"),
     ),
     # Aggregations
     "agg1_species_status": lambda i: taxonomy.species_status(runs.extract(i.occ, MAIN)),
@@ -371,23 +421,22 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "stats_main": lambda i: stats.main_stats(i.profile),
     "job4_native_status": lambda i: i.native_status,
     "job4_limited": lambda i: runs.native_status(i.occ, RunSpec("limited", limit=1000)),
-    "job5_after_shared_rmd": lambda i: lookups.drop_species(
-        runs.resolve_multistatus(
-            i.stage.table(runs.extract(i.occ, SUPPLEMENTAL), "observations"), i.stage
-        ),
-        i.rms,
-    ),
-    "job5_after_shared_rms": lambda i: status.flag_shared(i.supplemental_rows, i.rms)
-    .filter("is_in_run1 = 0")
-    .select(*species_ops.COLUMNS),
+    "job5_after_shared_rmd": lambda i: i.after_shared[0],
+    "job5_after_shared_rms": lambda i: i.after_shared[1],
     "job6_final_rmd": lambda i: i.supplemental.rmd,
-    "job6_final_rms": lambda i: runs.remaining(i.flagged_rows).select(*species_ops.COLUMNS),
+    "job6_final_rms": lambda i: i.supplemental.rms,
     "stats_supplemental": lambda i: i.supplemental.stats,
+    "job7_export": _main_files,
     "job8_main_rmd": lambda i: _stored_main(i).rmd,
     "job8_main_rms": lambda i: _stored_main(i).rms,
-    "job9_supplemental_rmd": lambda i: runs.save_run(
-        i.supplemental, i.stage.path("run"), SUPPLEMENTAL
-    ).rmd,
+    "job9_supplemental_rmd": lambda i: i.supplemental_stored.rmd,
+    "job9_supplemental_rms": lambda i: i.supplemental_stored.rms,
+    "job9_native_status": lambda i: i.supplemental_stored.native_status,
+    "job10_export": _unfiltered_files,
+    "job12_export": _flagged_files,
+    "job13_export": _legacy_files,
+    "job14_export": _introduced_file,
+    "job15_export": _combined_file,
     "job10_unfiltered": lambda i: runs.unfiltered_run(i.occ),
     "job11_import": _import,
     "job12_flags": lambda i: i.flagging.observations,
@@ -428,8 +477,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "val5_taxonomic": lambda i: checks.unmodelled_by_taxonomic_status(i.status_profile),
     "val5_nsr": lambda i: checks.unmodelled_by_checklist(i.status_profile, _checklist(i)),
     "val5_country": lambda i: checks.countries_in_no_checklist(i.occ),
-    "val6_species_rank": lambda i: taxonomy.species_rank_taxa(i.taxa),
-    "val6_conflicting": lambda i: taxonomy.conflicting_taxa(i.taxa),
+    "val6_species_rank": lambda i: i.audit[0],
+    "val6_conflicting": lambda i: i.audit[1],
     "val7a_species_counts": lambda i: checks.species_counts(i.raw, i.listed),
     "val7b_country": lambda i: checks.species_in_country(i.raw, i.occ, i.listed, COUNTRY),
     "val7c_continent": lambda i: checks.prefixed_in_continent(i.raw, i.occ, PREFIXES, CONTINENT),
