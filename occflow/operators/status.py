@@ -26,13 +26,18 @@ def native_status_table(
     Counting per combination comes first and combines on the map side; the sets
     are then collected from the few combinations a species has.
     """
-    combinations = (
-        observations.filter(filters.has_species())
-        .groupBy(C.SPECIES, *columns)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return combinations.groupBy(C.SPECIES).agg(
-        *[joined_set(c).alias(c) for c in columns], F.sum("n").alias("obs")
+    combinations = observations.groupBy(C.SPECIES, *columns).agg(F.count(F.lit(1)).alias("obs"))
+    return status_sets(combinations, columns)
+
+
+def status_sets(
+    combinations: DataFrame, columns: Sequence[str] = ("is_introduced", "native_status")
+) -> DataFrame:
+    """Native-status sets from counts ``obs`` of combinations, which may have further columns."""
+    return (
+        combinations.filter(filters.has_species())
+        .groupBy(C.SPECIES)
+        .agg(*[joined_set(c).alias(c) for c in columns], F.sum("obs").alias("obs"))
     )
 
 

@@ -8,6 +8,8 @@ profile instead of the observations.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,8 +18,14 @@ from occflow import constants as C
 PROFILE_KEYS = [C.SPECIES, C.NOSPACE, C.STATUS, C.GROUP, C.IS_VASC]
 
 
-def species_profile(observations: DataFrame) -> DataFrame:
-    return observations.groupBy(*PROFILE_KEYS).agg(F.count(F.lit(1)).alias("obs"))
+def species_profile(observations: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """Row counts by the profile's keys and, if asked, ``more`` columns."""
+    return observations.groupBy(*PROFILE_KEYS, *more).agg(F.count(F.lit(1)).alias("obs"))
+
+
+def narrow_profile(profile: DataFrame) -> DataFrame:
+    """The plain profile from one with more columns."""
+    return profile.groupBy(*PROFILE_KEYS).agg(F.sum("obs").alias("obs"))
 
 
 def species_status(observations: DataFrame) -> DataFrame:

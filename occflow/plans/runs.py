@@ -102,18 +102,25 @@ def remaining(species: DataFrame) -> DataFrame:
 
 def _observations_and_status(
     occ: DataFrame, spec: RunSpec, stage: Stage
-) -> tuple[DataFrame, DataFrame]:
-    """Observations of the run, and native status of all species passing the main filter.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Observations of the run, their profile, and native status of all species passing the main filter.
 
-    Both come from one scan of the occurrences when the extract has the columns for
-    it. A limit applies to each on its own, so it needs two scans.
+    All come from one scan of the occurrences, and the last two from one count of
+    combinations, when the extract has the columns for it: the presets of native
+    status depend on two of them only. A limit applies to each on its own, so it
+    needs two scans.
     """
     shared = spec.limit is None and spec.select == "standard" and spec.introduced in filters.INTRODUCED
     if not shared:
-        return stage.table(extract(occ, spec), "observations"), native_status(occ, spec)
+        observations = stage.table(extract(occ, spec), "observations")
+        profile = stage.table(taxonomy.species_profile(observations), "profile")
+        return observations, profile, native_status(occ, spec)
     passing = stage.table(extract(occ, replace(spec, introduced="any")), "observations")
     own = filters.predicate(spec.introduced, filters.INTRODUCED)
-    return passing.filter(own), status_ops.native_status_table(passing)
+    counted = taxonomy.species_profile(passing, ["is_introduced", "native_status"])
+    counted = stage.table(counted, "combinations")
+    profile = taxonomy.narrow_profile(counted.filter(own))
+    return passing.filter(own), profile, status_ops.status_sets(counted)
 
 
 def supplemental_run(
@@ -124,8 +131,7 @@ def supplemental_run(
     stage: Stage,
 ) -> Run:
     """A main run, less the species of an earlier run and those of any checklist."""
-    observations, statuses = _observations_and_status(occ, spec, stage)
-    profile = stage.table(taxonomy.species_profile(observations), "profile")
+    observations, profile, statuses = _observations_and_status(occ, spec, stage)
     names = stage.table(taxonomy.dropped_names(profile), "dropped_names")
     kept = taxonomy.drop_names(profile, names)
 
