@@ -10,6 +10,10 @@ leftmost first, is looked up again and again, its boundary deleted and the two
 neighbouring ranks refreshed. Longer ones would take quadratic time that way; they go
 through a heap over a linked list, with the same result.
 
+Python and the tokenizer know different versions of Unicode. Which code points they
+compose, order or lower-case differently is found by comparison when a file is read;
+a text that holds one is normalised by the tokenizer's own normaliser.
+
 Defined results: a null text counts as empty and has no tokens; white space has none.
 Special tokens written out in a text become their ids. Decoding joins the tokens'
 strings with single spaces. Repeated rows get equal results. Other columns are
@@ -24,13 +28,16 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from tokenizers import Tokenizer
+from tokenizers.normalizers import Normalizer
 
 SHORT = 64
 CACHE = 200_000
@@ -75,10 +82,8 @@ class Vocabulary:
     made: list[int]  # rank -> id of the merged pair
     special: dict[str, int]
     pattern: str
-    cache: dict = field(default_factory=dict, repr=False)
-
-    def __getstate__(self):
-        return self.__dict__ | {"cache": {}}
+    normalizer: Normalizer
+    unlike: str  # code points that the normaliser treats otherwise than Python
 
 
 def load(path: str) -> Vocabulary:
@@ -98,7 +103,8 @@ def load(path: str) -> Vocabulary:
     split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
     pattern = split["pattern"]["Regex"].replace(r"[^\s\p{L}\p{N}]", rf"[^{_WS}\p{{L}}\p{{N}}]")
     symbols = byte_symbols()
-    return Vocabulary(tokens, [ids[s] for s in symbols], [ids[s + end] for s in symbols], ranks, made, special, pattern)
+    inner, final = [ids[s] for s in symbols], [ids[s + end] for s in symbols]
+    return Vocabulary(tokens, inner, final, ranks, made, special, pattern, *_normalizer(path))
 
 
 def _merge_short(parts: list[int], v: Vocabulary) -> list[int]:
@@ -146,6 +152,26 @@ def encode_word(word: str, v: Vocabulary) -> list[int]:
     return _merge_short(parts, v) if len(parts) <= SHORT else _merge_long(parts, v)
 
 
+@lru_cache
+def _normalizer(path: str) -> tuple[Normalizer, str]:
+    """The file's normaliser, and the code points at which it differs from ``_normal``."""
+    normalizer = Tokenizer.from_file(path).normalizer
+    every = [chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000]
+    every = [c for c in every if not c.isspace()]
+    # A mark whose class only one side knows moves on that side: before a mark of class 1
+    # or, being of class 1 itself, before one of class 220.
+    marks = [c for c in every if unicodedata.combining(c)]
+    pairs = [p.split() for c in every if len(p := unicodedata.decomposition(c)) and p[0] != "<"]
+    pairs = [(chr(int(p[0], 16)), chr(int(p[1], 16))) for p in pairs if len(p) == 2]
+    probes = [(c, c) for c in every]
+    probes += [(c, c + "\u0335") for c in marks] + [(c, "\u0324" + c) for c in marks]
+    probes += [(b, a + b) for a, b in pairs]
+    # Nothing composes with a zero.
+    text = "0".join(p for _, p in probes)
+    own, theirs = _normal(text).split("0"), normalizer.normalize_str(text).split("0")
+    return normalizer, "".join(sorted({c for (c, _), a, b in zip(probes, own, theirs, strict=True) if a != b}))
+
+
 def _normal(text: str) -> str:
     if text.isascii():
         return text.lower()
@@ -164,11 +190,16 @@ class Encoder:
         exact = exact.replace(r"[\p{L}]+", rf"(?:(?![{NEWER}])\p{{L}})+").replace(r"[\p{N}]", rf"(?:(?![{NEWER}])\p{{N}})")
         self._exact = regex.compile(exact).findall
         self._newer = re.compile(f"[{NEWER}]").search
+        self._unlike = re.compile(f"[{re.escape(vocabulary.unlike)}]").search if vocabulary.unlike else lambda text: None
         names = sorted(vocabulary.special, key=len, reverse=True)
         self._special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self._known: dict[str, tuple[int, str, str]] = {}
 
     def _words(self, text: str) -> list[str]:
+        if text.isascii() or not self._unlike(text):
+            text = _normal(text)
+        else:
+            text = self.v.normalizer.normalize_str(text)
         if text.isascii() or not self._newer(text):
             return self._plain(text)
         return self._exact(text)
@@ -186,7 +217,7 @@ class Encoder:
             if special:
                 ids.append(self.v.special[part])
             else:
-                for word in self._words(_normal(part)):
+                for word in self._words(part):
                     ids.extend(encode_word(word, self.v))
         return ids
 
@@ -206,7 +237,7 @@ class Encoder:
                 found = [(1, str(self.v.special[part]), part)]
             else:
                 found = []
-                for word in self._words(_normal(part)):
+                for word in self._words(part):
                     item = known.get(word)
                     if item is None:
                         if len(known) >= CACHE:
