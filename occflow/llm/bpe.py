@@ -31,6 +31,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -43,6 +44,8 @@ SHORT = 64
 CACHE = 200_000
 _WS = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _NO_RANK = 1 << 60
+# The normaliser treats a code point otherwise than Python; the pattern does.
+UNLIKE, OTHER_KIND = 1, 2
 
 # Code points that the installed regular expressions count as letters or
 # numbers and the tokenizer, of an older Unicode version, as other signs.
@@ -83,7 +86,7 @@ class Vocabulary:
     special: dict[str, int]
     pattern: str
     normalizer: Normalizer
-    unlike: str  # code points that the normaliser treats otherwise than Python
+    rare: np.ndarray  # for each code point: UNLIKE, OTHER_KIND, both or 0
 
 
 def load(path: str) -> Vocabulary:
@@ -153,8 +156,8 @@ def encode_word(word: str, v: Vocabulary) -> list[int]:
 
 
 @lru_cache
-def _normalizer(path: str) -> tuple[Normalizer, str]:
-    """The file's normaliser, and the code points at which it differs from ``_normal``."""
+def _normalizer(path: str) -> tuple[Normalizer, np.ndarray]:
+    """The file's normaliser, and where it or the pattern differs from Python's data."""
     normalizer = Tokenizer.from_file(path).normalizer
     every = [chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000]
     every = [c for c in every if not c.isspace()]
@@ -169,7 +172,10 @@ def _normalizer(path: str) -> tuple[Normalizer, str]:
     # Nothing composes with a zero.
     text = "0".join(p for _, p in probes)
     own, theirs = _normal(text).split("0"), normalizer.normalize_str(text).split("0")
-    return normalizer, "".join(sorted({c for (c, _), a, b in zip(probes, own, theirs, strict=True) if a != b}))
+    rare = np.zeros(0x110000, dtype=np.uint8)
+    rare[[ord(c) for (c, _), a, b in zip(probes, own, theirs, strict=True) if a != b]] |= UNLIKE
+    rare[[ord(c) for c in re.findall(f"[{NEWER}]", "".join(every))]] |= OTHER_KIND
+    return normalizer, rare
 
 
 def _normal(text: str) -> str:
@@ -189,20 +195,24 @@ class Encoder:
         exact = vocabulary.pattern.replace(rf"[^{_WS}\p{{L}}\p{{N}}]", rf"(?:[^{_WS}\p{{L}}\p{{N}}]|[{NEWER}])")
         exact = exact.replace(r"[\p{L}]+", rf"(?:(?![{NEWER}])\p{{L}})+").replace(r"[\p{N}]", rf"(?:(?![{NEWER}])\p{{N}})")
         self._exact = regex.compile(exact).findall
-        self._newer = re.compile(f"[{NEWER}]").search
-        self._unlike = re.compile(f"[{re.escape(vocabulary.unlike)}]").search if vocabulary.unlike else lambda text: None
         names = sorted(vocabulary.special, key=len, reverse=True)
         self._special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self._known: dict[str, tuple[int, str, str]] = {}
 
+    def _rare(self, text: str) -> int:
+        """Which of UNLIKE and OTHER_KIND some character of ``text`` has."""
+        found = 0
+        if not text.isascii():
+            for start in range(0, len(text), 1 << 20):
+                points = np.frombuffer(text[start : start + (1 << 20)].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+                found |= int(np.bitwise_or.reduce(self.v.rare[points]))
+        return found
+
     def _words(self, text: str) -> list[str]:
-        if text.isascii() or not self._unlike(text):
-            text = _normal(text)
-        else:
-            text = self.v.normalizer.normalize_str(text)
-        if text.isascii() or not self._newer(text):
-            return self._plain(text)
-        return self._exact(text)
+        rare = self._rare(text)
+        if not rare:
+            return self._plain(_normal(text))
+        return self._exact(self.v.normalizer.normalize_str(text) if rare & UNLIKE else _normal(text))
 
     def _segments(self, text: str) -> Iterator[tuple[str, bool]]:
         if self._special is None or not any(s in text for s in self.v.special):
