@@ -13,13 +13,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _runs(k: int, least: int) -> Column:
-    """From the arrays ``h1``, ``h2`` and ``words``: every run of ``k`` units with ``least`` words or more."""
+def _runs(k: int, spans: dict[int, int]) -> Column:
+    """From the arrays ``h1``, ``h2`` and ``words1``, ``words2``...: every run of ``k`` units that holds enough words.
+
+    Left out is a run whose first and whose last ``k`` - 1 units are runs themselves:
+    where it is a later one so are they, and together they cover it.
+    """
     hashed = lambda name, i: F.xxhash64(*[F.col(name)[i + F.lit(j)] for j in range(k)])
     places = F.sequence(F.lit(0), F.size("h1") - k)
-    if least:
-        long_enough = lambda i: sum((F.col("words")[i + F.lit(j)] for j in range(1, k)), F.col("words")[i]) >= least
-        places = F.filter(places, long_enough)
+    enough = lambda n, i: F.get(f"words{n}", i) >= spans[n] if spans[n] else F.lit(True)
+    if spans[k]:
+        places = F.filter(places, lambda i: enough(k, i))
+    if k - 1 in spans:
+        places = F.filter(places, lambda i: ~(enough(k - 1, i) & enough(k - 1, i + 1)))
     runs = F.transform(
         places,
         lambda i: F.struct(hashed("h1", i).alias("a"), hashed("h2", i).alias("b"), i.alias("place"), F.lit(k).alias("units")),
@@ -28,6 +34,16 @@ def _runs(k: int, least: int) -> Column:
     return F.when(F.size("h1") >= k, runs).otherwise(nothing)
 
 
+def _with_words(docs: DataFrame, spans: dict[int, int]) -> DataFrame:
+    """``docs`` with the arrays ``words1``, ``words2``...: by place, the words of so many units (null past the end)."""
+    if not any(spans.values()):
+        return docs
+    docs = docs.withColumn("words1", F.col("words"))
+    for k in range(2, max(k for k, least in spans.items() if least) + 1):
+        docs = docs.withColumn(f"words{k}", F.transform(f"words{k - 1}", lambda n, i: n + F.get("words", i + k - 1)))
+    return docs
+
+
 def unit_hashes(units: Column) -> list[Column]:
     """The arrays ``h1`` and ``h2`` that ``later_places`` reads."""
     return [
@@ -44,7 +60,8 @@ def later_places(docs: DataFrame, spans: dict[int, int]) -> DataFrame:
     and version are one document. Returns doc, version and ``starts``, an array of
     (place, units).
     """
-    runs = docs.select("doc", "version", F.explode(F.concat(*[_runs(k, n) for k, n in spans.items()])).alias("run")).select(
+    found = F.explode(F.concat(*[_runs(k, spans) for k in spans])).alias("run")
+    runs = _with_words(docs, spans).select("doc", "version", found).select(
         F.col("run.a").alias("a"),
         F.col("run.b").alias("b"),
         F.col("run.units").alias("units"),

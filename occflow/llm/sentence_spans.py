@@ -1,11 +1,13 @@
 """Substring dedup: remove sentences that a repeated span of sentences covers.
 
 A text is cut after every run of full stops, question or exclamation marks and the
-white space that follows, and after line feeds. Every run of two consecutive
-sentences is hashed and joined globally; every sentence under a span that is not the
+white space that follows, and after line feeds. Every run of two or more consecutive
+sentences that holds ten words is a span, and so is one sentence of twenty-five words.
+Spans are hashed and joined globally; every sentence under a span that is not the
 first of its kind (in order of id and place) is removed with its end marks. Spans
-compare by the sentences' words in lower case. Two very short sentences meet by
-chance, so a span needs ten words; one sentence of twenty-five words is a span by itself.
+compare by the sentences' words in lower case. Fewer words meet by chance ("U.S.A." is
+three sentences). A sentence counts as a word at least, so that ten sentences always
+hold ten words, and any longer span is made of spans of two to ten sentences.
 
 Defined results: a null text stays null with no sentences; an empty text has none. A
 text with fewer sentences than a span is never touched. A text that loses all its
@@ -22,7 +24,8 @@ from pyspark.sql import functions as F
 from . import repeats
 
 # Sentences in a span, and the fewest words they must hold.
-SPANS = {2: 10, 1: 25}
+WORDS = 10
+SPANS = {1: 25} | {k: WORDS for k in range(2, WORDS + 1)}
 SENTENCE = r"[^.!?\n]*[.!?\n]+[\x20\x09-\x0D]*|[^.!?\n]+"
 
 

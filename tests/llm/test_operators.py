@@ -211,6 +211,31 @@ def test_sentence_spans(spark, docs):
     assert {r["doc_id"]: r["text"] for r in sentence_spans.dedup_sentences(docs).collect()} == wanted
 
 
+def test_spans_of_short_sentences(spark):
+    talk = "Who? Me. Yes! No. Why? Go on. So be it! Oh. Fine. Well, all right. Hm. Ok."
+    rows = [
+        (1, f"One begins here. {talk} One ends."),
+        (2, f"Two starts. {talk} Two stops."),
+        (3, f"Three. {talk}\n{talk} End."),
+        (4, "a! b! c! d! e! f! g! h! i! j! k! l!"),
+        (5, "z! a! b! c! d! e! f! g! h! i! j! k! m!"),
+        (6, "Born in the U.S.A. they say."),
+        (7, "Made in the U.S.A. he says."),
+    ]
+    found = by_id(sentence_spans.dedup_sentences(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert found[1]["text"] == rows[0][1] and found[4]["text"] == rows[3][1]
+    assert found[2]["text"] == "Two starts. Two stops." and found[3]["text"] == "Three. End."
+    assert found[5]["text"] == "z! m!"
+    assert found[6]["n_removed"] == found[7]["n_removed"] == 0
+    cut, normal = re.compile(sentence_spans.SENTENCE).findall, lambda u: " ".join(u.lower().split())
+    rng = random.Random(6)
+    texts = {d: "".join(rng.choice(["a. ", "b c! ", "d\n", "e f g h? ", "x " * 9 + "y. ", "z " * 25 + "\n"]) for _ in range(60)) for d in range(30)}
+    for spans in (sentence_spans.SPANS, {2: 0}, {1: 3, 3: 5}, {2: 7, 3: 4, 4: 9}):
+        given = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+        found = {r["doc_id"]: r["text"] for r in sentence_spans.dedup_sentences(given, spans=spans).collect()}
+        assert found == brute_cleaned(texts, cut, normal, spans, "")
+
+
 def test_repeat_edges(edge):
     found = line_windows.dedup_lines(edge).collect()
     assert len(found) == len(EDGE)
