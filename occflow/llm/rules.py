@@ -6,8 +6,9 @@ the verdict. Nothing is shuffled.
 
 Defined results: words are runs of characters other than space and the controls 9 to
 13. A null or empty text has no words and measures of 0. A ratio with nothing below
-the line is 0. Rules about ratios only speak from ``RATIO_WORDS`` words on. Repeated
-rows get equal results. Columns of ``docs`` that carry a name made here are replaced;
+the line is 0. A rule only speaks from its ``min_words`` on: 10, as fewer fail anyway,
+and 20 for stop words, which a short text may lack by chance. Repeated rows get equal
+results. Columns of ``docs`` that carry a name made here are replaced;
 all others stay.
 """
 
@@ -29,7 +30,7 @@ STOP_WORDS = (
 ).split()
 
 SYMBOLS = "#*$%&|<>"
-RATIO_WORDS = 20
+BASE_WORDS, RATIO_WORDS = 10, 20
 
 
 @dataclass(frozen=True)
@@ -40,7 +41,7 @@ class Rule:
     measure: str
     least: float | None = None
     most: float | None = None
-    min_words: int = RATIO_WORDS
+    min_words: int = BASE_WORDS
 
     def passes(self) -> Column:
         value, ok = F.col(self.measure), F.lit(True)
@@ -54,7 +55,7 @@ class Rule:
 THRESHOLDS = (
     Rule("mean_word_length", "chars_per_word", least=2.0, most=15.0),
     Rule("few_symbols", "symbols_per_word", most=0.1),
-    Rule("stop_words", "stop_word_ratio", least=0.02),
+    Rule("stop_words", "stop_word_ratio", least=0.02, min_words=RATIO_WORDS),
     Rule("few_repeated_lines", "dup_line_ratio", most=0.3),
     Rule("few_shouted_words", "bang_word_ratio", most=0.3),
 )
@@ -134,7 +135,7 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = THRESHO
         lambda x: x.isNotNull(),
     )
     return (
-        found.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
+        found.withColumn("base_failed", (F.col("n_words") < BASE_WORDS) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
         .withColumn("failed_rules", failed)
         .withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
     )

@@ -269,6 +269,23 @@ def test_rules(edge, docs):
     assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
 
 
+def test_rules_of_short_texts(spark):
+    plain = "the cat and a dog ran over to see us".split()  # ten words
+    texts = {
+        "few_symbols": " ".join(plain[:-1] + ["&&&%"]),
+        "mean_word_length": " ".join(w + "x" * 20 for w in plain),
+        "few_repeated_lines": "\n".join(["to us", "to us", "to us", " ".join(plain)]),
+        "few_shouted_words": " ".join(w + "!!" for w in plain),
+        "": " ".join(plain),
+        " ": " ".join(f"nostop{i}" for i in range(19)),  # too short for the rule of stop words
+        "stop_words": " ".join(f"nostop{i}" for i in range(20)),
+    }
+    found = rules.judge(spark.createDataFrame(list(texts.items()), "name string, text string")).collect()
+    for r in found:
+        assert not r["base_failed"] and r["failed_rules"] == [r["name"].strip()] * bool(r["name"].strip())
+        assert r["kept"] == (not r["name"].strip())
+
+
 def brute_top(vectors, k):
     whole = {}
     for i, v in vectors:
