@@ -10,8 +10,9 @@ verified exactly by differing bits.
 
 Equal fingerprints are one point. A cell's points are read as one sorted run in a
 task, and of a crowded cell only a spanning forest of its verified links is kept,
-never all pairs. A cell with more than ``CELL`` stored points is cut into chunks,
-each compared with all that look into the cell, in tasks of their own.
+never all pairs. A cell that more than ``CELL`` points are stored in or look into is
+cut into tiles, a chunk of its stored points against a chunk of those that look into
+it, each a run of its own of about ``CELL`` rows a side.
 
 Defined results: a null text has no words, like an empty or blank one; its
 fingerprint is zero. A null id takes part, and a component of null ids only has a
@@ -185,28 +186,55 @@ def links(points: DataFrame, stage: Stage, cell_limit: int = CELL) -> DataFrame:
                 )
 
     entries = points.select("fp").mapInArrow(grid, "cell bigint, fp bigint, stored boolean")
-    hot = stage.table(
-        entries.where("stored").groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cell_limit)
-        .select("cell", F.ceil(F.col("n") / cell_limit).cast("int").alias("chunks")),
-        "hot_cells",
-    )
-    own = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
-    every = F.sequence(F.lit(0), F.col("chunks") - 1)
-    chunks = F.when(F.col("chunks").isNull(), F.array(F.lit(0))).when(F.col("stored"), F.array(own)).otherwise(every)
+    hot = stage.table(hot_cells(entries, stage, cell_limit), "hot_cells")
+    fp_chunk = lambda n: F.pmod(F.xxhash64("fp"), n).cast("int")
+    every = lambda n: F.sequence(F.lit(0), n - 1)
+    tile = lambda own, other: F.struct(own.alias("own"), other.alias("other"))
+    # A stored point goes to a row of tiles, one that looks into the cell to a column.
+    as_stored = F.transform(every(F.col("others")), lambda k: tile(fp_chunk(F.col("owns")), k))
+    as_probe = F.transform(every(F.col("owns")), lambda k: tile(k, fp_chunk(F.col("others"))))
+    tiles = F.when(F.col("owns").isNull(), F.array(tile(F.lit(0), F.lit(0)))).when(F.col("stored"), as_stored).otherwise(as_probe)
     probe = (~F.col("stored")).cast("int").alias("probe")
-    dealt = entries.join(hot, "cell", "left").select("cell", "fp", probe, F.explode(chunks).alias("chunk"))
+    dealt = entries.join(hot, "cell", "left").select("cell", "fp", probe, F.explode(tiles).alias("tile"))
     # A stored point of a hot cell looks into the other chunks as well.
     across = (
-        entries.where("stored").join(hot, "cell").select("cell", "fp", F.lit(1).alias("probe"), F.explode(every).alias("chunk"))
+        entries.where("stored").join(hot, "cell").select("cell", "fp", F.lit(1).alias("probe"), F.explode(as_probe).alias("tile"))
     )
+    chunk = ((F.col("tile.own").cast("long") * F.lit(1 << 32)) + F.col("tile.other")).alias("chunk")
     return (
         dealt.unionByName(across)
+        .select("cell", chunk, "fp", "probe")
         .repartition("cell", "chunk")
         .sortWithinPartitions("cell", "chunk")
         .mapInArrow(_scan, "a bigint, b bigint")
     )
 
 
+def hot_cells(entries: DataFrame, stage: Stage, cell_limit: int = CELL) -> DataFrame:
+    """``cell``, ``owns`` and ``others``: chunks of the stored points and of the points that look into each hot cell.
+
+    Who looks into a cell is stored there or one of up to ``HALF`` cells a step down. Only
+    cells with more than ``cell_limit`` / ``HALF`` stored points are added up: the rest
+    of a cell's neighbours hold ``cell_limit`` at most together.
+    """
+    some = max(cell_limit // HALF, 1)
+    full = stage.table(
+        entries.where("stored").groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > some), "full_cells"
+    )
+    count = lambda k: F.shiftright("cell", SEGMENT_BITS * k).bitwiseAND(F.lit(3))
+    up = F.array_compact(
+        F.array(*[F.when(count(k) < 2, F.col("cell") + F.lit(1 << (SEGMENT_BITS * k))) for k in range(HALF)])
+    )
+    none = F.lit(0).cast("long")
+    looks = full.select(F.explode(up).alias("cell"), none.alias("own"), F.col("n").alias("other"))
+    both = full.select("cell", F.col("n").alias("own"), F.col("n").alias("other")).unionByName(looks)
+    sums = both.groupBy("cell").agg(F.sum("own").alias("own"), F.sum("other").alias("other"))
+    chunks = lambda n: F.greatest(F.ceil(n / cell_limit), F.lit(1)).cast("int")
+    return sums.where((F.col("own") > cell_limit) | (F.col("other") > cell_limit)).select(
+        "cell", chunks(F.col("own")).alias("owns"), chunks(F.col("other") + some * HALF).alias("others")
+    )
+
+
 def near_duplicates(docs: DataFrame, stage: Stage, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits), component_id, version and root of every row.
 

@@ -379,6 +379,29 @@ def test_links_of_dense_cells(spark):
         assert found == wanted
 
 
+def test_tiles_of_hot_cells_are_bounded(spark, monkeypatch):
+    # Cells that many points look into and few are stored in, and one with many stored points.
+    points = {0} | {1 << (2 * k) | rest << 32 for k in range(12) for rest in range(200)}
+    points |= {sum(1 << (2 * k + (n >> k & 1)) for k in range(10)) | 1 << 60 for n in range(1 << 10)}
+    frame = spark.createDataFrame([(simhash._signed(p),) for p in sorted(points)], "fp long")
+    stage, limit, sent = workspace(spark), 64, []
+
+    def counted(self, f, schema, *a, whole=type(frame).mapInArrow):
+        if f is simhash._scan:
+            sent.extend(self.groupBy("cell", "chunk", "probe").count().collect())
+        return whole(self, f, schema, *a)
+
+    monkeypatch.setattr(type(frame), "mapInArrow", counted)
+    edges = simhash.links(frame, stage, cell_limit=limit)
+    monkeypatch.undo()
+    assert sum(r["count"] for r in sent) > len(points) and max(r["count"] for r in sent) <= 2 * limit
+    found = {r["node"]: r["component"] for r in components.components(edges, workspace(spark)).collect()}
+    groups = defaultdict(set)
+    for p, root in brute_components(points).items():
+        groups[root].add(simhash._signed(p))
+    assert found == {n: min(g) for g in groups.values() if len(g) > 1 for n in g}
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(500, 400), (7, 7)], "a long, b long")
     found = {r["node"]: r["component"] for r in components.components(edges, workspace(spark)).collect()}
