@@ -9,7 +9,9 @@ Slots are made of finer buckets, so that places within a shard come from a windo
 over one bucket and prefix sums over the bucket table, never from a whole shard.
 
 Defined results: a null text has size 1 (no bytes plus 1), and a null id hashes like
-any value. Rows equal in id and text share a slot. An empty table leaves every slot
+any value. Rows equal in id and text are counted before they move; the first is hashed
+by id and text, each further one by its number as well, so that they spread like other
+rows. An empty table leaves every slot
 where version 0 has it. With fewer filled slots than shards some shards stay empty.
 All other columns are dropped by ``place_records``.
 """
@@ -21,19 +23,30 @@ from pyspark.sql import functions as F
 
 SLOTS = 4096
 BUCKETS_PER_SLOT = 16
+# Copies of a row that one task makes at once.
+COPIES = 4096
 
 
 def describe(docs: DataFrame, doc: str = "doc_id", text: str = "text", slots: int = SLOTS) -> DataFrame:
     """doc_id, size, text_crc32, hash and bucket of each record."""
     crc = F.crc32(F.col(text).cast("binary"))
     hashed = F.xxhash64(F.col(doc), F.col(text))
-    return docs.select(
+    rows = docs.select(
         F.col(doc).alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1).alias("size"),
         crc.alias("text_crc32"),
         hashed.alias("hash"),
-        F.pmod(hashed, F.lit(slots * BUCKETS_PER_SLOT)).alias("bucket"),
     )
+    counted = rows.groupBy("doc_id", "size", "text_crc32", "hash").agg(F.count(F.lit(1)).alias("copies"))
+    # Copies are made block by block, and many blocks of one key in different tasks.
+    first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES).cast("long"))).alias("first")
+    blocks = counted.where(F.col("copies") > 1).select("*", first).repartition("hash", "first")
+    last = F.least(F.col("first") + COPIES, F.col("copies")) - 1
+    repeated = blocks.select("doc_id", "size", "text_crc32", "hash", F.explode(F.sequence("first", last)).alias("copy"))
+    once = counted.where(F.col("copies") == 1).select("doc_id", "size", "text_crc32", "hash", F.lit(0).cast("long").alias("copy"))
+    salted = F.when(F.col("copy") == 0, F.col("hash")).otherwise(F.xxhash64("hash", "copy"))
+    bucket = F.pmod(salted, F.lit(slots * BUCKETS_PER_SLOT)).alias("bucket")
+    return once.unionByName(repeated).select("doc_id", "size", "text_crc32", "hash", bucket)
 
 
 def bucket_loads(records: DataFrame) -> DataFrame:

@@ -130,6 +130,19 @@ def test_slots(spark, edge, docs):
     assert len(size) == 16 and max(size.values()) - min(size.values()) <= max(len(r["text"]) for r in docs.collect())
 
 
+def test_repeated_rows_spread_over_shards(spark):
+    same = spark.range(9000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("one text of many").alias("text"))
+    rows = same.union(spark.range(9000).select("id", F.concat(F.lit("text "), "id")))
+    found = virtual_slots.shard(rows, workspace(spark)).select("doc_id", "shard", "slot", "size").collect()
+    size, places = Counter(), defaultdict(list)
+    for r in found:
+        size[r["shard"]] += r["size"]
+        places[r["shard"]].append(r["slot"])
+    assert len(found) == 18_000 and sum(r["doc_id"] is None for r in found) == 9000
+    assert len(size) == 16 and max(size.values()) - min(size.values()) < sum(size.values()) / 160
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+
+
 def test_rebalancing_moves_only_the_excess(spark):
     loads = spark.createDataFrame([(s, 10 if s % 4 else 30) for s in range(64)], "slot long, bytes long")
     before = virtual_slots.first_map(spark, 4, 64)
