@@ -3,10 +3,24 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, flow_mix, impact_topk, language_id, line_windows, quality_model, rules, sentence_spans, simhash, virtual_slots
+from . import (
+    bpe,
+    conversation_repair,
+    fill_in_middle,
+    flow_mix,
+    impact_topk,
+    language_id,
+    license_scan,
+    line_windows,
+    quality_model,
+    rules,
+    sentence_spans,
+    simhash,
+    virtual_slots,
+)
 from .common import WORD, id_remainder, table, workspace
 
 TOKENIZER = "word_bpe_49k.json"
@@ -99,11 +113,57 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def damaged(turns: DataFrame) -> tuple[DataFrame, Column]:
+    """``turns`` with planted faults, and which rows are to count as dropped."""
+    name = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    kind = F.crc32(name) % 20
+    role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text"))
+    rows = turns.select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, F.lit("user")).otherwise(role).alias("role"),
+        F.when(kind == 1, F.lit("")).when(kind == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        kind.alias("kind"),
+        F.explode(F.when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    )
+    return rows, F.col("kind") == 0
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, dropped = damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.audit(turns, workspace(spark), absent=dropped)
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"), workspace(spark))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min("places").cast("long").alias("first_word"),
+        F.array_max("places").cast("long").alias("last_word"),
+        F.array_join("phrase_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.transform(table(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        digest(F.col("output")).alias("output_sha256"),
+        digest(fill_in_middle.restore("output", "form")).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id, op2_quality_model, op3_virtual_slots, op4_flow_mix, op5_line_windows, op6_sentence_spans,
-        op7_quality_rules, op8_impact_topk, op9_simhash, op10_bpe,
+        op7_quality_rules, op8_impact_topk, op9_simhash, op10_bpe, op11_conversation_repair,
+        op12_license_scan, op13_fill_in_middle,
     )
 }
 
@@ -176,7 +236,144 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from ratios"""
 
 
+def _repair_sql() -> str:
+    """The four states' cheapest edits, row by row; a state is a struct of cost, edits and text, compared in this order."""
+    way = lambda cost, edits, body: f"{{'c': {cost}, 'e': {edits}, 'x': {body}}}"
+    start = lambda z: f"case when {z}.x = '' then '' else {z}.x || chr(10) end"
+    least = lambda *ways: f"list_min([{', '.join(ways)}])"
+    delete = lambda z: way(f"{z}.c + 3", f"{z}.e || 'D'", f"{z}.x")
+
+    def kept(z: str, initial: str) -> str:
+        may = f"initial = '{initial}' and fault not in (1, 2)"
+        return way(f"case when {may} then {z}.c + cut else 1000000000 end", f"{z}.e || 'K'", f"{start(z)} || role || ':' || text")
+
+    def rerole(z: str, role: str) -> str:
+        cost = f"case when fault not in (1, 2) then {z}.c + 2 + cut else 1000000000 end"
+        return way(cost, f"{z}.e || 'R'", f"{start(z)} || '{role}:' || text")
+
+    insert = lambda z, role: way(f"{z}.c + 2", f"{z}.e || 'I'", f"{start(z)} || '{role}:'")
+    never = way("1000000000::bigint", "''", "''")
+    begun = way("0::bigint", "''", "''")
+    users = [f(z, x) for z in "sya" for f, x in ((kept, "u"), (rerole, "user"))]
+    settled = f"""
+ select conv_id, i, s, y, {least("u", insert("s", "user"), insert("y", "user"), insert("a", "user"))} as u, a from"""
+    closed = f"select conv_id, i, s, y, u, {least('a', insert('u', 'assistant'))} as a from"
+    return rf"""
+with recursive polynomial(entries) as (
+ select list_transform(range(256), lambda n: list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, n))),
+ hashed as (
+  select *, list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda x: ascii(x)::bigint) as bytes
+  from conversations),
+ named as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+   xor(list_reduce(bytes, lambda c, b: xor(c >> 8, entries[xor(c & 255, b) + 1]), 4294967295), 4294967295) % 20 as kind
+  from hashed, polynomial),
+ rows as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+   case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text, unnest(case when kind = 3 then [0, 1] else [0] end) as copy
+  from named where kind <> 0),
+ placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as i,
+   row_number() over (partition by conv_id, role, text order by turn nulls first, copy) > 1 as seen from rows),
+ faulty as materialized (
+  select *, left(role, 1) as initial, case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 1 when seen then 2
+   when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') then 3 else 0 end as fault from placed),
+ counted as (
+  select conv_id, case when max(turn) is null then 0 else max(turn) - min(turn) + 1 - count(distinct turn) end as gaps,
+   count(*) filter (fault = 1) as blank, count(*) filter (fault = 2) as duplicate, count(*) filter (fault = 3) as truncated, count(*) as n
+  from faulty group by conv_id),
+ pairs as (
+  select conv_id, lag(initial) over (partition by conv_id order by i) || initial as pair from faulty),
+ illegal as (select conv_id, count(*) filter (pair not in ('su', 'ua', 'au')) as illegal from pairs group by conv_id),
+ ids as (select distinct conv_id from conversations),
+ walk as (
+  {closed} ({settled} (select conv_id, 0::bigint as i, {begun} as s, {never} as y, {never} as u, {never} as a from ids))
+  union all
+  {closed} ({settled} (
+   select w.conv_id, w.i + 1 as i, {delete("s")} as s, {least(delete("y"), kept("s", "s"))} as y,
+    {least(delete("u"), *users)} as u, {least(delete("a"), kept("u", "a"), rerole("u", "assistant"))} as a
+   from walk w join (select *, case when fault = 3 then 1 else 0 end as cut from faulty) f
+    on w.conv_id is not distinct from f.conv_id and f.i = w.i + 1))),
+ ends as (
+  select w.conv_id, {least("s", "a")} as best from walk w left join counted c on w.conv_id is not distinct from c.conv_id
+  where w.i = coalesce(c.n, 0))
+select e.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+ coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, best.c::bigint as cost, best.e as audit,
+ sha256(best.x) as repaired_sha256
+from ends e left join counted c on e.conv_id is not distinct from c.conv_id left join illegal l on e.conv_id is not distinct from l.conv_id"""
+
+
+def _license_sql() -> str:
+    phrases = [(t, True) for t in license_scan.PHRASES] + [(t, False) for t in license_scan.TEMPLATES]
+    labels, words, keys = [], [], []
+    for number, (t, base) in enumerate(phrases):
+        labels.append(f"({number}, '{t.label}', {base})")
+        words += [f"({number}, '{w}', {k})" for k, w in enumerate(t.words)]
+        for key, (at, phrase) in enumerate(t.phrases()):
+            keys += [f"({number}, {key}, {at}, '{w}', {k}, {len(phrase)})" for k, w in enumerate(phrase)]
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+with template(t, label, base) as (values {", ".join(labels)}),
+ template_words(t, word, k) as (values {", ".join(words)}),
+ key_words(t, key, pos, word, k, n) as (values {", ".join(keys)}),
+ docs as materialized (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from documents),
+ every as (select doc_id, unnest(words) as word, generate_subscripts(words, 1) - 1 as place from docs),
+ hits as materialized (select * from every where word in (select word from template_words)),
+ idf as materialized (
+  select word, ln(((select count(*) from docs) + 1) / (count(distinct doc_id) + 1)) + 1 as idf
+  from (select distinct word from template_words) left join hits using (word) group by word),
+ begun as materialized (
+  select doc_id, t, key, pos, place - k as place from hits join key_words using (word)
+  group by doc_id, t, key, pos, place - k, n having count(*) = n),
+ begins as (select distinct doc_id, t, key, floor((place - pos) / {license_scan.TOLERANCE}.0)::bigint as bucket from begun),
+ agreed as materialized (
+  select a.doc_id, a.t, a.bucket from begins a join begins b on a.doc_id = b.doc_id and a.t = b.t and abs(a.bucket - b.bucket) <= 1
+  where a.key = 0 group by a.doc_id, a.t, a.bucket
+  having count(distinct b.key) = (select count(distinct key) from key_words k where k.t = a.t)),
+ stands as (
+  select distinct a.doc_id, a.t, w.k, w.word from agreed a join template_words w on a.t = w.t
+  join hits h on h.doc_id = a.doc_id and h.word = w.word and abs(floor((h.place - w.k) / {license_scan.TOLERANCE}.0)::bigint - a.bucket) <= 1),
+ shares as (
+  select doc_id, t, round(sum(idf) / (select sum(idf) from template_words w join idf using (word) where w.t = stands.t), 6) as share
+  from stands join idf using (word) group by doc_id, t),
+ found as (select doc_id, label, base, share from shares join template using (t) where base or share >= {license_scan.ACCEPT}),
+ places as (select doc_id, count(*) as n, min(place) as low, max(place) as high from begun join template using (t) where base group by doc_id),
+ named as (
+  select doc_id, string_agg(distinct label, ',' order by label) filter (base) as base_labels,
+   string_agg(distinct label, ',' order by label) as labels, max(share) as score
+  from found group by doc_id)
+select d.doc_id, len(d.words)::bigint as n_words, coalesce(p.n, 0)::bigint as n_base, p.low::bigint as first_word,
+ p.high::bigint as last_word, coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0)::double as score
+from docs d left join places p on d.doc_id = p.doc_id left join named n on d.doc_id = n.doc_id"""
+
+
+def _middle_sql() -> str:
+    p, s, m = fill_in_middle.PREFIX, fill_in_middle.SUFFIX, fill_in_middle.MIDDLE
+    return f"""
+with docs as materialized (
+ select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u,
+  sha256('1:' || coalesce(doc_id::varchar, '')) as h from documents),
+ drawn as (
+  select *, len(u) as n, ('0x' || h[1:8])::bigint % (len(u) + 1) as a, ('0x' || h[9:16])::bigint % (len(u) + 1) as b,
+   ('0x' || h[17:24])::bigint % 100 as keep, ('0x' || h[25:32])::bigint % 100 as turn from docs),
+ cut as (
+  select doc_id, text, n, array_to_string(u[1:least(a, b)], '') as p, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') as m,
+   array_to_string(u[greatest(a, b) + 1:n], '') as s,
+   case when text = '' or contains(text, '{p}') or contains(text, '{s}') or contains(text, '{m}') or keep >= {fill_in_middle.JOINED}
+    then 'plain' when turn < {fill_in_middle.SUFFIX_FIRST} then 'spm' else 'psm' end as form from drawn)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then length(p) end::bigint as prefix_chars,
+ case when form <> 'plain' then length(m) end::bigint as middle_chars,
+ sha256(case form when 'plain' then text when 'psm' then '{p}' || p || '{s}' || s || '{m}' || m
+  else '{s}' || s || '{p}' || p || '{m}' || m end) as output_sha256,
+ sha256(text) as restored_sha256
+from cut"""
+
+
 ORACLE = {
+    "op11_conversation_repair": _repair_sql(),
+    "op12_license_scan": _license_sql(),
+    "op13_fill_in_middle": _middle_sql(),
     "op5_line_windows": _repeats_sql("string_split(text, chr(10))", "unit", {line_windows.WINDOW: 0}, "\n", "n_lines"),
     "op6_sentence_spans": _repeats_sql(
         rf"regexp_extract_all(text, '{sentence_spans.SENTENCE}')",
