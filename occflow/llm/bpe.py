@@ -35,13 +35,15 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType
 from tokenizers import Tokenizer
 from tokenizers.normalizers import Normalizer
 
+from .common import boxed, quoted, unboxed
+
 SHORT = 64
-CACHE = 200_000
+# Characters of words and of what is kept for them.
+CACHE = 64 << 20
 _WS = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _NO_RANK = 1 << 60
 # The normaliser treats a code point otherwise than Python; the pattern does.
@@ -187,7 +189,7 @@ def _normal(text: str) -> str:
 
 
 class Encoder:
-    """Encodes whole texts; remembers the words it has met, up to ``CACHE`` of them."""
+    """Encodes whole texts; remembers short words it has met, up to ``CACHE`` characters with their results."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.v = vocabulary
@@ -198,6 +200,7 @@ class Encoder:
         names = sorted(vocabulary.special, key=len, reverse=True)
         self._special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self._known: dict[str, tuple[int, str, str]] = {}
+        self._held = 0
 
     def _rare(self, text: str) -> int:
         """Which of UNLIKE and OTHER_KIND some character of ``text`` has."""
@@ -250,9 +253,14 @@ class Encoder:
                 for word in self._words(part):
                     item = known.get(word)
                     if item is None:
-                        if len(known) >= CACHE:
-                            known.clear()
-                        item = known[word] = self._word(word)
+                        item = self._word(word)
+                        if len(word) <= SHORT:
+                            # What Python needs for an entry besides its characters counts as 400.
+                            self._held += 400 + 2 * len(word) + len(item[1]) + len(item[2])
+                            if self._held > CACHE:
+                                known.clear()
+                                self._held = 0
+                            known[word] = item
                     found.append(item)
             n += sum(x[0] for x in found)
             ids.extend(x[1] for x in found)
@@ -266,53 +274,50 @@ def decode(ids: list[int], v: Vocabulary) -> str:
     return " ".join(v.tokens[i] for i in ids)
 
 
-def _texts(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    return docs.select(*[f"`{c}`" for c in keep], F.col(text).alias("__text"))
-
-
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns ``keep`` with ``ids``, array<int>."""
-    keep = list(keep)
+    """Columns ``keep`` with ``ids``, array<int>; a column of this name is replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    rows = boxed(docs, keep, text=quoted(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
         for batch in batches:
-            ids = pa.array([encoder.encode(t) for t in batch.column("__text").to_pylist()], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), ids], names=[*keep, "ids"])
+            ids = pa.array([encoder.encode(t) for t in batch.column("text").to_pylist()], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), ids], names=["row", "ids"])
 
-    return _texts(docs, text, keep).mapInArrow(run, docs.select(*[f"`{c}`" for c in keep]).schema.add("ids", ArrayType(IntegerType())))
+    made = rows.mapInArrow(run, rows.select("row").schema.add("ids", ArrayType(IntegerType())))
+    return unboxed(made, keep, ("ids",))
 
 
 def decode_rows(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFrame:
     """``rows`` with the array column ``ids`` and, added, ``decoded``."""
     shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
-    names = [c for c in rows.columns if c != "decoded"]
+    boxes = boxed(rows, ids=quoted(ids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
         for batch in batches:
-            texts = pa.array([decode(x or [], v) for x in batch.column(ids).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), texts], names=[*names, "decoded"])
+            texts = pa.array([decode(x or [], v) for x in batch.column("ids").to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("row"), texts], names=["row", "decoded"])
 
-    kept = rows.select(*[f"`{c}`" for c in names])
-    return kept.mapInArrow(run, StructType([*kept.schema.fields, StructField("decoded", StringType())]))
+    made = boxes.mapInArrow(run, boxes.select("row").schema.add("decoded", "string"))
+    return unboxed(made, rows.columns, ("decoded",))
 
 
 def digests(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns ``keep`` with n_tokens, ids_sha256 and decoded_sha256 of the whole text."""
-    keep = list(keep)
-    made = ["n_tokens", "ids_sha256", "decoded_sha256"]
+    """Columns ``keep`` with n_tokens, ids_sha256 and decoded_sha256 of the whole text; columns of these names are replaced."""
+    made = ("n_tokens", "ids_sha256", "decoded_sha256")
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    rows = boxed(docs, keep, text=quoted(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
         for batch in batches:
-            found = [encoder.digests(t) for t in batch.column("__text").to_pylist()]
+            found = [encoder.digests(t) for t in batch.column("text").to_pylist()]
             columns = [pa.array([x[k] for x in found], pa.int64() if k == 0 else pa.string()) for k in range(3)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *columns], names=[*keep, *made])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *columns], names=["row", *made])
 
-    schema = docs.select(*[f"`{c}`" for c in keep]).schema
+    schema = rows.select("row").schema
     for name, kind in zip(made, ("long", "string", "string")):
         schema = schema.add(name, kind)
-    return _texts(docs, text, keep).mapInArrow(run, schema)
+    return unboxed(rows.mapInArrow(run, schema), keep, made)

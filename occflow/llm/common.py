@@ -5,7 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -116,24 +116,69 @@ def character_table(kind: str) -> np.ndarray:
     return _tables[kind]
 
 
+def quoted(name: str) -> Column:
+    """A column by a name of any signs."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def boxed(
+    rows: DataFrame, names: Sequence[str] | None = None, without: Sequence[str] = (), **columns: Column
+) -> DataFrame:
+    """Columns ``names`` (all if None) as one struct ``row`` beside ``columns``, so that names made here can't clash.
+
+    Those of ``without`` are left out, to be named as ``changed`` when the row is unboxed.
+    """
+    names = rows.columns if names is None else names
+    fields = [quoted(c).alias(f"c{k}") for k, c in enumerate(names) if c not in without]
+    whole = F.struct(*fields or [F.lit(0).alias("c")])
+    return rows.select(whole.alias("row"), *[c.alias(name) for name, c in columns.items()])
+
+
+def unboxed(
+    df: DataFrame, names: Sequence[str], made: Sequence[str] = (), changed: dict[str, Column] | None = None
+) -> DataFrame:
+    """The columns ``names`` again, ``changed`` in place, and those ``made``, which replace columns of their name."""
+    gone, changed = {m.lower() for m in made}, changed or {}
+    kept = [changed.get(c, F.col(f"row.c{k}")).alias(c) for k, c in enumerate(names) if c.lower() not in gone]
+    return df.select(*kept, *made)
+
+
+def numbered(rows: DataFrame, copies: int = 4096) -> DataFrame:
+    """``rows`` with ``copy``, which counts equal rows from 0.
+
+    Equal rows are counted on the map side and made anew in blocks of ``copies``, each
+    block in a task of its own, so that many of them never meet.
+    """
+    names = rows.columns
+    counted = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("copies"))
+    zero = F.lit(0).cast("long")
+    first = F.explode(F.sequence(zero, F.col("copies") - 1, F.lit(copies).cast("long"))).alias("first")
+    blocks = counted.where(F.col("copies") > 1).select(F.struct(*names).alias("row"), "copies", first)
+    blocks = blocks.repartition("row", "first")
+    last = F.least(F.col("first") + copies, F.col("copies")) - 1
+    several = blocks.select("row.*", F.explode(F.sequence("first", last)).alias("copy"))
+    return counted.where(F.col("copies") == 1).select(*names, zero.alias("copy")).unionByName(several)
+
+
 def version_key(doc: str, text: str) -> Column:
     """Identifies a document by its id and a hash of its text; never null, also where they are."""
     return F.struct(F.col(doc).alias("doc"), F.xxhash64(text).alias("version"))
 
 
-def join_once(docs: DataFrame, doc: str, text: str, keys: DataFrame) -> DataFrame:
+def join_once(docs: DataFrame, doc: str, text: str, keys: DataFrame, extra: str | None = None) -> DataFrame:
     """Rows of ``docs`` whose document is in ``keys`` (key, rows, ...), one for each document.
 
     ``key`` is a ``version_key`` and ``rows`` how many rows of ``docs`` carry it. Only
     repeated rows go through a distinct, which combines them on the map side first.
     ``keys`` has to be a stored table: if none of it repeats, that side is empty and
-    costs nothing.
+    costs nothing. With ``extra``, a row appears as often as that column of ``keys`` says.
     """
-    columns = docs.columns
-    keyed = docs.withColumn("__key", version_key(doc, text))
-    single, several = (keys.where(c).withColumnRenamed("key", "__key") for c in ("rows = 1", "rows > 1"))
-    once = keyed.join(single, "__key")
-    more = keyed.join(several.select("__key"), "__key", "left_semi").dropDuplicates(["__key"]).join(several, "__key")
-    extra = [c for c in keys.columns if c not in ("key", "rows")]
-    names = [f"`{c}`" for c in [*columns, *extra]]
-    return once.select(*names).unionByName(more.select(*names))
+    times = F.lit(1) if extra is None else F.col(extra)
+    keyed = boxed(docs, key=version_key(doc, text))
+    single, several = (keys.where(c).select("key", times.alias("times")) for c in ("rows = 1", "rows > 1"))
+    once = keyed.join(single, "key")
+    more = keyed.join(several.select("key"), "key", "left_semi").dropDuplicates(["key"]).join(several, "key")
+    both = once.unionByName(more.select(*once.columns))
+    if extra is not None:
+        both = both.select("row", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("time"))
+    return unboxed(both, docs.columns)

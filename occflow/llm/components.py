@@ -2,9 +2,9 @@
 
 Each round hangs every node's larger neighbours on its least neighbour, then its
 lesser ones. Rounds end when nothing changes; their number grows with the logarithm
-of the longest chain. Minima combine on the map side, and the joins that follow are
-plain ones, whose hot partitions adaptive execution splits. Every round is stored,
-which cuts the lineage.
+of the longest chain. Minima combine on the map side and are stored before the joins
+that follow, so that adaptive execution can split the partition of a hot node. Every
+round is stored, which cuts the lineage.
 """
 
 from __future__ import annotations
@@ -29,9 +29,10 @@ def components(edges: DataFrame, stage: Stage) -> DataFrame:
     while seen[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = stage.table(least, "least")
         large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = stage.table(large.distinct(), "stars")
-        below = large.groupBy("u").agg(F.min("v").alias("m"))
+        below = stage.table(large.groupBy("u").agg(F.min("v").alias("m")), "below")
         small = large.join(below, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = stage.table(small.unionByName(below.select("u", F.col("m").alias("v"))).distinct(), "edges")
         last, seen = seen, _checksum(now)

@@ -25,9 +25,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .common import slices
+from .common import boxed, quoted, slices, unboxed
 
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 PLAIN, PSM, SPM = "plain", "psm", "spm"
@@ -35,7 +34,7 @@ JOINED, SUFFIX_FIRST = 90, 20  # per cent of texts that are joined, and of these
 BLOCK = 512
 STRETCH = BLOCK << 11
 
-MADE = ("n", "form", "prefix_chars", "middle_chars", "output")
+MADE = {"n": "long", "form": "string", "prefix_chars": "long", "middle_chars": "long", "output": "string"}
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[ord("A") : ord("Z") + 1] = _LETTER[ord("a") : ord("z") + 1] = True
@@ -110,15 +109,10 @@ def transform(
     docs: DataFrame, doc: str = "doc_id", text: str = "text", seed: str = "1", joined: int = JOINED, suffix_first: int = SUFFIX_FIRST
 ) -> DataFrame:
     """``docs`` with n (units), form, prefix_chars, middle_chars and output."""
-    kept = [f for f in docs.schema.fields if f.name not in MADE]
-    # Positions as names, so that no column of ``docs`` can clash with the two inputs.
-    rows = docs.select(
-        F.col(doc).cast("string").alias("id"),
-        F.col(text).cast("string").alias("text"),
-        F.struct(*[F.col(f"`{f.name}`").alias(f"c{k}") for k, f in enumerate(kept)], F.lit(0).alias("row")).alias("kept"),
-    )
-    kinds = {"n": LongType(), "form": StringType(), "prefix_chars": LongType(), "middle_chars": LongType(), "output": StringType()}
-    schema = StructType([rows.schema["kept"], *[StructField(c, kinds[c]) for c in MADE]])
+    rows = boxed(docs, without=[text], id=quoted(doc).cast("string"), text=quoted(text))
+    schema = rows.select("row", "text").schema
+    for name, kind in MADE.items():
+        schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,18 +122,17 @@ def transform(
                 n, form, before, middle, output = zip(*found)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("kept").slice(start, stop - start),
+                        *(batch.column(c).slice(start, stop - start) for c in ("row", "text")),
                         pa.array(n, pa.int64()),
                         pa.array(form, pa.string()),
                         pa.array(before, pa.int64()),
                         pa.array(middle, pa.int64()),
                         pa.array(output, pa.binary()).view(pa.string()),
                     ],
-                    names=["kept", *MADE],
+                    names=["row", "text", *MADE],
                 )
 
-    made = rows.mapInArrow(run, schema)
-    return made.select(*[F.col(f"kept.c{k}").alias(f.name) for k, f in enumerate(kept)], *MADE)
+    return unboxed(rows.mapInArrow(run, schema), docs.columns, list(MADE), {text: F.col("text")})
 
 
 def restore(output: Column | str, form: Column | str) -> Column:

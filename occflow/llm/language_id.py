@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import character_table, code_points, grouped, hash_below
+from .common import boxed, character_table, code_points, grouped, hash_below, quoted, unboxed
 
 UNDETERMINED = "und"
 ORDERS = (2, 3, 4)
@@ -237,14 +237,14 @@ def predict(
     ``lead`` in loss. Columns of ``docs`` with these three names are replaced.
     """
     made = ("lang_pred", "score", "ambiguous")
-    kept = [f for f in docs.schema.fields if f.name not in made and (keep is None or f.name in keep)]
+    names = [c for c in docs.columns if keep is None or c in keep]
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = [f.name for f in kept]
+    rows = boxed(docs, names, text=quoted(text))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            texts = batch.column("__text").to_pylist()
+            texts = batch.column("text").to_pylist()
             letters = np.array([_has_letter(t) for t in texts], dtype=bool)
             langs = np.full(len(texts), UNDETERMINED, dtype=object)
             share, near = np.zeros(len(texts)), np.zeros(len(texts), dtype=bool)
@@ -257,14 +257,14 @@ def predict(
                 share = np.where(letters, likely, 0.0)
                 near = letters & (ahead < lead)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in names), pa.array(list(langs), pa.string()), pa.array(share), pa.array(near)],
-                names=[*names, *made],
+                [batch.column("row"), pa.array(list(langs), pa.string()), pa.array(share), pa.array(near)],
+                names=["row", *made],
             )
 
-    schema = docs.select(*[f"`{n}`" for n in names]).schema
+    schema = rows.select("row").schema
     for name, kind in zip(made, ("string", "double", "boolean")):
         schema = schema.add(name, kind)
-    return docs.select(*[f"`{n}`" for n in names], F.col(text).alias("__text")).mapInArrow(score, schema)
+    return unboxed(rows.mapInArrow(score, schema), names, made)
 
 
 def usable(prediction: DataFrame) -> Column:

@@ -17,7 +17,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.staging import Stage
 from . import repeats
+from .common import unboxed, workspace
 
 WINDOW = 3
 
@@ -26,22 +28,18 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def dedup_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, doc: str = "doc_id", text: str = "text", window: int = WINDOW, stage: Stage | None = None
+) -> DataFrame:
     """``docs`` with the cleaned ``text``, n_lines and n_removed (columns of these names are replaced)."""
-    docs = docs.drop("n_lines", "n_removed")
-    version = F.xxhash64(text)
+    stage = stage or workspace(docs.sparkSession)
     hashes = docs.where(F.col(text).isNotNull()).select(
-        F.col(doc).alias("doc"), version.alias("version"), *repeats.unit_hashes(_lines(F.col(text)))
-    )
-    joined = repeats.with_starts(docs, repeats.later_places(hashes, {window: 0}), doc, version)
-    marked = joined.withColumn(
-        "__kept",
-        F.when(F.col("__starts").isNotNull(), repeats.kept_units(_lines(F.col(text)), F.col("__starts"))),
-    )
-    lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(_lines(F.col(text)))).cast("long")
-    return (
-        marked.withColumn("n_lines", lines)
-        .withColumn("n_removed", F.when(F.col("__kept").isNull(), F.lit(0)).otherwise(F.col("n_lines") - F.size("__kept")).cast("long"))
-        .withColumn(text, F.when(F.col("__kept").isNull(), F.col(text)).otherwise(F.array_join("__kept", "\n")))
-        .drop("__kept", "__starts")
+        F.col(doc).alias("doc"), F.xxhash64(text).alias("version"), *repeats.unit_hashes(_lines(F.col(text)))
     )
+    joined = repeats.with_starts(docs, doc, text, repeats.later_places(repeats.windows(hashes, window), stage), stage)
+    kept = F.when(F.col("starts").isNotNull(), repeats.kept_units(_lines(F.col("text")), F.col("starts")))
+    lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(_lines(F.col("text")))).cast("long")
+    marked = joined.select("row", "text", kept.alias("kept"), lines.alias("n_lines"))
+    removed = F.when(F.col("kept").isNull(), F.lit(0)).otherwise(F.col("n_lines") - F.size("kept")).cast("long")
+    cleaned = F.when(F.col("kept").isNull(), F.col("text")).otherwise(F.array_join("kept", "\n"))
+    return unboxed(marked.withColumn("n_removed", removed), docs.columns, ("n_lines", "n_removed"), {text: cleaned})

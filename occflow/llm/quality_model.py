@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import Stage
-from .common import character_table, code_points, grouped, hash_below, slices
+from .common import boxed, character_table, code_points, grouped, hash_below, quoted, slices, unboxed
 
 _CAPS, _REPEAT, _NUMBER = (np.uint64(x) for x in (0x1F3D5B79, 0x2A4C6E80, 0x35577799))
 _BASE = np.uint64(0x100000001B3)
@@ -218,24 +218,21 @@ def train(
 
 def predict(docs: DataFrame, weights: np.ndarray, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` (all if None) with ``score``, higher where label 1 is likelier."""
-    names = [n for n in docs.columns if n != "score" and (keep is None or n in keep)]
+    names = [n for n in docs.columns if keep is None or n in keep]
+    rows = boxed(docs, names, text=quoted(text))
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         bits = int(np.log2(len(known) - 1))
         for batch in batches:
-            texts = batch.column("__text").to_pylist()
+            texts = batch.column("text").to_pylist()
             dots = np.full(len(texts), known[-1])
             for start, stop in slices(texts):
                 owner, bucket, value = features(texts[start:stop], bits)
                 dots[start:stop] += np.bincount(owner, weights=known[bucket] * value, minlength=stop - start)
             scores = 1 / (1 + np.exp(-np.clip(dots, -35, 35)))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in names), pa.array(scores)], names=[*names, "score"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(scores)], names=["row", "score"])
 
-    kept = docs.select(*[f"`{n}`" for n in names])
-    return docs.select(*[f"`{n}`" for n in names], F.col(text).alias("__text")).mapInArrow(
-        score, kept.schema.add("score", "double")
-    )
+    made = rows.mapInArrow(score, rows.select("row").schema.add("score", "double"))
+    return unboxed(made, names, ("score",))

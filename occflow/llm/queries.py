@@ -21,7 +21,7 @@ from . import (
     simhash,
     virtual_slots,
 )
-from .common import WORD, id_remainder, table, workspace
+from .common import WORD, id_remainder, numbered, table, workspace
 
 TOKENIZER = "word_bpe_49k.json"
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2.0
@@ -57,17 +57,17 @@ def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mix_by_source(docs: DataFrame, stage) -> tuple[DataFrame, DataFrame]:
     """Per row of ``docs``: id, version, source, size, copies, taken; and source, source_size, target."""
-    sized = stage.table(
-        docs.select(
-            F.col("doc_id").alias("id"),
-            F.xxhash64("text").alias("version"),
-            "source",
-            F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            F.xxhash64("doc_id", "text", F.lit("mix")).alias("order"),
-            F.array("source").alias("members"),
-        ),
-        "mix_sizes",
+    rows = docs.select(
+        F.col("doc_id").alias("id"),
+        F.xxhash64("text").alias("version"),
+        "source",
+        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.xxhash64("doc_id", "text", F.lit("mix")).alias("order"),
     )
+    # Copies of a row get orders of their own, so that they spread over the buckets.
+    order = F.when(F.col("copy") == 0, F.col("order")).otherwise(F.xxhash64("order", "copy"))
+    sized = numbered(rows).select("id", "version", "source", "size", order.alias("order"), F.array("source").alias("members"))
+    sized = stage.table(sized, "mix_sizes")
     sizes = {r["source"]: r["n"] for r in sized.groupBy("source").agg(F.sum("size").alias("n")).collect()}
     targets = flow_mix.water_fill(sizes, WEIGHTS, SHARE, MOST)
     taken = flow_mix.mix(sized, {s: int(t + 0.5) for s, t in targets.items()}, stage, passes=int(MOST)).taken
@@ -85,12 +85,12 @@ def op4_flow_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_windows.dedup_lines(docs).select("doc_id", "text", "n_lines", "n_removed")
+    return line_windows.dedup_lines(docs, stage=workspace(spark)).select("doc_id", "text", "n_lines", "n_removed")
 
 
 def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return sentence_spans.dedup_sentences(docs).select("doc_id", "text", "n_sentences", "n_removed")
+    return sentence_spans.dedup_sentences(docs, stage=workspace(spark)).select("doc_id", "text", "n_sentences", "n_removed")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,21 +170,19 @@ QUERIES = {
 _WORD = r"'[^\x20\x09-\x0D]+'"
 
 
-def _repeats_sql(units: str, normal: str, spans: dict[int, int], glue: str, count: str) -> str:
-    most = max(spans)
-    leads = ", ".join(f"lead(n, {j}) over w as n{j}, lead(words, {j}, 0) over w as words{j}" for j in range(most))
-    later = []
-    for k, least in spans.items():
-        alike, held = ", ".join(f"n{j}" for j in range(k)), " + ".join(f"words{j}" for j in range(k))
-        whole = f"n{k - 1} is not null and {held} >= {least}"
-        later.append(f"({whole}) and row_number() over (partition by {whole}, {alike} order by doc_id, place) > 1 as later{k}")
-    covered = " or ".join(f"coalesce(lag(later{k}, {j}) over w, false)" for k in spans for j in range(k))
+def _repeats_sql(units: str, normal: str, most: int, length: str, glue: str, count: str) -> str:
+    """``length``: units of the run that starts with the first of ``ns``, ``most`` at most, with word counts ``ws``."""
+    covered = " or ".join(f"coalesce(lag(later, {j}) over w and lag(length, {j}) over w > {j}, false)" for j in range(most))
     return f"""
 with docs as materialized (select doc_id, text, {units} as u from documents),
  parts as materialized (select doc_id, unnest(u) as unit, generate_subscripts(u, 1) as place from docs),
  plain as (select doc_id, place, n, len(string_split(n, ' ')) as words from (select doc_id, place, {normal} as n from parts)),
- runs as (select doc_id, place, {leads} from plain window w as (partition by doc_id order by place)),
- marked as (select doc_id, place, {", ".join(later)} from runs),
+ ahead as (
+  select doc_id, place, list(n) over w as ns, list(words) over w as ws
+  from plain window w as (partition by doc_id order by place rows between current row and {most - 1} following)),
+ runs as (select doc_id, place, length, ns[1:length] as run from (select *, {length} as length from ahead)),
+ marked as (
+  select doc_id, place, length, length is not null and row_number() over (partition by length, run order by doc_id, place) > 1 as later from runs),
  covered as (select doc_id, place, {covered} as gone from marked window w as (partition by doc_id order by place)),
  kept as (
   select p.doc_id, count(*) filter (gone) as n_removed, string_agg(unit, '{glue}' order by p.place) filter (not gone) as text
@@ -374,11 +372,16 @@ ORACLE = {
     "op11_conversation_repair": _repair_sql(),
     "op12_license_scan": _license_sql(),
     "op13_fill_in_middle": _middle_sql(),
-    "op5_line_windows": _repeats_sql("string_split(text, chr(10))", "unit", {line_windows.WINDOW: 0}, "\n", "n_lines"),
+    "op5_line_windows": _repeats_sql(
+        "string_split(text, chr(10))", "unit", line_windows.WINDOW,
+        f"case when len(ns) = {line_windows.WINDOW} then {line_windows.WINDOW} end", "\n", "n_lines",
+    ),
     "op6_sentence_spans": _repeats_sql(
         rf"regexp_extract_all(text, '{sentence_spans.SENTENCE}')",
         r"trim(regexp_replace(lower(unit), '[\x20\x09-\x0D]+', ' ', 'g'))",
-        sentence_spans.SPANS,
+        sentence_spans.WORDS,
+        f"list_filter(range({sentence_spans.SENTENCES}, {sentence_spans.WORDS + 1}), "
+        f"lambda k: k <= len(ws) and list_sum(ws[1:k]) >= {sentence_spans.WORDS})[1]",
         "",
         "n_sentences",
     ),

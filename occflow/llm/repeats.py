@@ -3,8 +3,9 @@
 Shared by the removal of repeated line windows and of repeated sentence spans.
 Only hashes travel: two independent 64-bit hashes identify a run, so that different
 runs don't meet even among 10 ** 12. A run held by a third of all documents is
-counted with map-side combine, and the join back to its places is a plain join,
-whose hot partitions adaptive execution splits.
+counted with map-side combine. What joins back to its places is stored first: adaptive
+execution splits the partition of a hot key only where both sides of a join are
+shuffled for it, which the result of an aggregation is not.
 """
 
 from __future__ import annotations
@@ -12,61 +13,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _runs(k: int, spans: dict[int, int]) -> Column:
-    """From the arrays ``h1``, ``h2`` and ``words1``, ``words2``...: every run of ``k`` units that holds enough words.
-
-    Left out is a run whose first and whose last ``k`` - 1 units are runs themselves:
-    where it is a later one so are they, and together they cover it.
-    """
-    hashed = lambda name, i: F.xxhash64(*[F.col(name)[i + F.lit(j)] for j in range(k)])
-    places = F.sequence(F.lit(0), F.size("h1") - k)
-    enough = lambda n, i: F.get(f"words{n}", i) >= spans[n] if spans[n] else F.lit(True)
-    if spans[k]:
-        places = F.filter(places, lambda i: enough(k, i))
-    if k - 1 in spans:
-        places = F.filter(places, lambda i: ~(enough(k - 1, i) & enough(k - 1, i + 1)))
-    runs = F.transform(
-        places,
-        lambda i: F.struct(hashed("h1", i).alias("a"), hashed("h2", i).alias("b"), i.alias("place"), F.lit(k).alias("units")),
-    )
-    nothing = F.array().cast("array<struct<a:bigint,b:bigint,place:int,units:int>>")
-    return F.when(F.size("h1") >= k, runs).otherwise(nothing)
-
-
-def _with_words(docs: DataFrame, spans: dict[int, int]) -> DataFrame:
-    """``docs`` with the arrays ``words1``, ``words2``...: by place, the words of so many units (null past the end)."""
-    if not any(spans.values()):
-        return docs
-    docs = docs.withColumn("words1", F.col("words"))
-    for k in range(2, max(k for k, least in spans.items() if least) + 1):
-        docs = docs.withColumn(f"words{k}", F.transform(f"words{k - 1}", lambda n, i: n + F.get("words", i + k - 1)))
-    return docs
+from ..sources.staging import Stage
+from .common import boxed
 
 
 def unit_hashes(units: Column) -> list[Column]:
-    """The arrays ``h1`` and ``h2`` that ``later_places`` reads."""
+    """The arrays ``h1`` and ``h2`` that runs are made of."""
     return [
         F.transform(units, lambda x: F.xxhash64(x)).alias("h1"),
         F.transform(units, lambda x: F.xxhash64(F.lit(7), x)).alias("h2"),
     ]
 
 
-def later_places(docs: DataFrame, spans: dict[int, int]) -> DataFrame:
-    """From (doc, version, h1, h2, words): where a run of units is not the first of its kind.
+def windows(docs: DataFrame, k: int) -> DataFrame:
+    """From (doc, version, h1, h2): doc, version, place, units and the hashes a and b of every run of ``k`` units."""
+    hashed = lambda name, i: F.xxhash64(*[F.col(name)[i + F.lit(j)] for j in range(k)])
+    runs = F.transform(
+        F.sequence(F.lit(0), F.size("h1") - k),
+        lambda i: F.struct(i.alias("place"), F.lit(k).alias("units"), hashed("h1", i).alias("a"), hashed("h2", i).alias("b")),
+    )
+    nothing = F.array().cast("array<struct<place:int,units:int,a:bigint,b:bigint>>")
+    return docs.select("doc", "version", F.inline(F.when(F.size("h1") >= k, runs).otherwise(nothing)))
 
-    ``spans`` has, for each number of units that make a run, the fewest words it must
-    hold. Runs are ordered by doc (null first), version and place. Rows equal in doc
-    and version are one document. Returns doc, version and ``starts``, an array of
-    (place, units).
+
+def later_places(runs: DataFrame, stage: Stage) -> DataFrame:
+    """From (doc, version, place, units, a, b): where a run of units is not the first of its kind.
+
+    Runs are ordered by doc (null first), version and place. Rows equal in doc and
+    version are one document. Returns doc, version and ``starts``, an array of (place,
+    units).
     """
-    found = F.explode(F.concat(*[_runs(k, spans) for k in spans])).alias("run")
-    runs = _with_words(docs, spans).select("doc", "version", found).select(
-        F.col("run.a").alias("a"),
-        F.col("run.b").alias("b"),
-        F.col("run.units").alias("units"),
-        F.struct("doc", "version", F.col("run.place").alias("place")).alias("at"),
-    )
+    runs = runs.select("a", "b", "units", F.struct("doc", "version", "place").alias("at"))
     first = (
         runs.groupBy("a", "b", "units")
         .agg(F.min("at").alias("first"), F.max("at").alias("last"))
@@ -74,7 +51,7 @@ def later_places(docs: DataFrame, spans: dict[int, int]) -> DataFrame:
         .select("a", "b", "units", "first")
     )
     return (
-        runs.join(first, ["a", "b", "units"])
+        runs.join(stage.table(first, "first_runs"), ["a", "b", "units"])
         .where(F.col("at") > F.col("first"))
         .groupBy(F.col("at.doc").alias("doc"), F.col("at.version").alias("version"))
         .agg(F.collect_set(F.struct(F.col("at.place").alias("place"), "units")).alias("starts"))
@@ -88,9 +65,9 @@ def kept_units(units: Column, starts: Column) -> Column:
     return F.transform(kept, lambda i: units[i])
 
 
-def with_starts(docs: DataFrame, starts: DataFrame, doc: str, version: Column) -> DataFrame:
-    """``docs`` with the column ``__starts``, null where nothing repeats."""
-    found = starts.select(F.col("doc").alias("__doc"), F.col("version").alias("__at"), F.col("starts").alias("__starts"))
-    left = docs.withColumn("__version", version)
-    on = left[doc].eqNullSafe(found["__doc"]) & (left["__version"] == found["__at"])
-    return left.join(found, on, "left").drop("__doc", "__at", "__version")
+def with_starts(docs: DataFrame, doc: str, text: str, starts: DataFrame, stage: Stage) -> DataFrame:
+    """``row`` (all columns but the text), ``text`` and ``starts``, null where nothing repeats."""
+    found = stage.table(starts, "starts").select(F.col("doc").alias("at"), F.col("version").alias("at_version"), "starts")
+    left = boxed(docs, without=[text], doc=F.col(doc), version=F.xxhash64(text), text=F.col(text))
+    on = F.col("doc").eqNullSafe(F.col("at")) & (F.col("version") == F.col("at_version"))
+    return left.join(found, on, "left").select("row", "text", "starts")

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, WORD
+from .common import SPACE, WORD, boxed, quoted, unboxed
 
 # Frequent function words of English, German, French and Spanish.
 STOP_WORDS = (
@@ -67,36 +67,40 @@ def _ratio(part: str, whole: str) -> Column:
 
 def measures(docs: DataFrame, text: str = "text", width: int = 5) -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and the ratios."""
-    whole = F.coalesce(F.col(text), F.lit(""))
-    docs = docs.drop(*MEASURES)
-    step = docs.withColumn("__words", F.regexp_extract_all(whole, F.lit(WORD), F.lit(0))).withColumn(
-        "__lines", F.filter(F.split(whole, "\n", -1), lambda x: x.rlike(WORD))
+    # The input goes beside the steps as one column, so that its names can't clash with theirs.
+    step = boxed(docs, text=F.coalesce(quoted(text), F.lit("")))
+    has_word = lambda x: x.rlike(WORD)
+    step = step.select(
+        "row",
+        "text",
+        # Cutting at spaces is much faster than extracting words; it leaves empty parts at the ends.
+        F.filter(F.split("text", SPACE, -1), lambda w: w != "").alias("words"),
+        F.filter(F.split("text", "\n", -1), has_word).alias("lines"),
     )
-    step = (
-        step.withColumn("n_words", F.size("__words").cast("long"))
-        .withColumn("word_chars", F.length(F.regexp_replace(whole, SPACE, "")).cast("long"))
-        .withColumn("n_symbols", (F.length(whole) - F.length(F.translate(whole, SYMBOLS, ""))).cast("long"))
-        .withColumn("n_lines", F.size("__lines").cast("long"))
-        .withColumn("n_dup_lines", (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"))
-        .withColumn("n_stop_words", F.size(F.filter("__words", lambda w: F.lower(w).isin(STOP_WORDS))).cast("long"))
-        .withColumn("n_bang_words", F.size(F.filter("__words", lambda w: w.endswith("!!"))).cast("long"))
-        .withColumn("__hashes", F.transform("__words", lambda w: F.xxhash64(w)))
-        .drop("__words", "__lines")
+    step = step.select(
+        "row",
+        F.size("words").cast("long").alias("n_words"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.size("lines").cast("long").alias("n_lines"),
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
+        F.size(F.filter("words", lambda w: F.lower(w).isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
+        F.size(F.filter("words", lambda w: w.endswith("!!"))).cast("long").alias("n_bang_words"),
+        F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
     )
-    window = lambda i: F.xxhash64(*[F.get("__hashes", i + j) for j in range(width)])
-    step = step.withColumn(
-        "__windows",
-        F.when(F.size("__hashes") > width, F.transform(F.sequence(F.lit(0), F.size("__hashes") - width), window)),
-    ).drop("__hashes")
+    counts = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_stop_words", "n_bang_words")
+    window = lambda i: F.xxhash64(*[F.get("hashes", i + j) for j in range(width)])
+    windows = F.when(F.size("hashes") > width, F.transform(F.sequence(F.lit(0), F.size("hashes") - width), window))
+    step = step.select("row", *counts, windows.alias("windows"))
     # Only texts with a repeat sort their windows: equal hashes then stand together, and
     # their places, sorted again, add the words that no earlier window covers.
-    repeats = F.size("__windows") > F.size(F.array_distinct("__windows"))
-    placed = F.sort_array(F.transform("__windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    step = step.withColumn("__placed", F.when(repeats, placed)).drop("__windows")
-    at = lambda i: F.get("__placed", i)
+    repeats = F.size("windows") > F.size(F.array_distinct("windows"))
+    placed = F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    step = step.select("row", *counts, F.when(repeats, placed).alias("placed"))
+    at = lambda i: F.get("placed", i)
     twice = F.filter(
         F.transform(
-            "__placed",
+            "placed",
             lambda x, i: F.when(
                 F.coalesce(at(i - 1)["h"] == x["h"], F.lit(False)) | F.coalesce(at(i + 1)["h"] == x["h"], F.lit(False)),
                 x["i"],
@@ -104,21 +108,25 @@ def measures(docs: DataFrame, text: str = "text", width: int = 5) -> DataFrame:
         ),
         lambda i: i.isNotNull(),
     )
-    step = step.withColumn("__twice", F.sort_array(twice)).drop("__placed")
+    step = step.select("row", *counts, F.sort_array(twice).alias("twice"))
     covered = F.aggregate(
-        F.transform("__twice", lambda p, i: F.least(F.coalesce(F.get("__twice", i + 1) - p, F.lit(width)), F.lit(width))),
+        F.transform("twice", lambda p, i: F.least(F.coalesce(F.get("twice", i + 1) - p, F.lit(width)), F.lit(width))),
         F.lit(0).cast("long"),
         lambda a, b: a + b,
     )
-    return (
-        step.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long")))
-        .drop("__twice")
-        .withColumn("chars_per_word", _ratio("word_chars", "n_words"))
-        .withColumn("symbols_per_word", _ratio("n_symbols", "n_words"))
-        .withColumn("stop_word_ratio", _ratio("n_stop_words", "n_words"))
-        .withColumn("bang_word_ratio", _ratio("n_bang_words", "n_words"))
-        .withColumn("dup_line_ratio", _ratio("n_dup_lines", "n_lines"))
-    )
+    step = step.select("row", *counts, F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words"))
+    ratios = {
+        "chars_per_word": ("word_chars", "n_words"),
+        "symbols_per_word": ("n_symbols", "n_words"),
+        "stop_word_ratio": ("n_stop_words", "n_words"),
+        "bang_word_ratio": ("n_bang_words", "n_words"),
+        "dup_line_ratio": ("n_dup_lines", "n_lines"),
+    }
+    step = step.select("*", *[_ratio(*x).alias(name) for name, x in ratios.items()])
+    made = (*counts, "n_repeat_words", *ratios)
+    # Columns that ``judge`` makes go as well.
+    names = [c for c in docs.columns if c.lower() not in MEASURES]
+    return unboxed(step, docs.columns, made).select(*[quoted(c) for c in names], *made)
 
 
 MEASURES = (

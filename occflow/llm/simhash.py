@@ -243,13 +243,14 @@ def near_duplicates(docs: DataFrame, stage: Stage, doc: str = "doc_id", text: st
     rows = stage.table(fingerprints(docs, doc, text), "fingerprints")
     points = stage.table(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "points")
     joined = stage.table(components(stage.table(links(points, stage), "links"), stage), "components")
-    linked = points.join(joined, points["fp"] == joined["node"])
-    ids = linked.groupBy("component").agg(F.min("least").alias("component_id"))
+    linked = stage.table(points.join(joined, points["fp"] == joined["node"]), "linked")
+    # Stored, like the names below: a join can split a hot key only between two tables read as they are.
+    ids = stage.table(linked.groupBy("component").agg(F.min("least").alias("component_id")), "component_ids")
     linked = linked.select("fp", "component").join(ids, "component").select("fp", F.col("component").alias("root"), "component_id")
     named = points.join(linked, "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "least").alias("component_id")
     )
-    return rows.join(named, "fp").select(
+    return rows.join(stage.table(named, "named"), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "version", "root"
     )
 

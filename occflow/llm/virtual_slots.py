@@ -21,10 +21,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import numbered
+
 SLOTS = 4096
 BUCKETS_PER_SLOT = 16
-# Copies of a row that one task makes at once.
-COPIES = 4096
 
 
 def describe(docs: DataFrame, doc: str = "doc_id", text: str = "text", slots: int = SLOTS) -> DataFrame:
@@ -37,16 +37,10 @@ def describe(docs: DataFrame, doc: str = "doc_id", text: str = "text", slots: in
         crc.alias("text_crc32"),
         hashed.alias("hash"),
     )
-    counted = rows.groupBy("doc_id", "size", "text_crc32", "hash").agg(F.count(F.lit(1)).alias("copies"))
-    # Copies are made block by block, and many blocks of one key in different tasks.
-    first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES).cast("long"))).alias("first")
-    blocks = counted.where(F.col("copies") > 1).select("*", first).repartition("hash", "first")
-    last = F.least(F.col("first") + COPIES, F.col("copies")) - 1
-    repeated = blocks.select("doc_id", "size", "text_crc32", "hash", F.explode(F.sequence("first", last)).alias("copy"))
-    once = counted.where(F.col("copies") == 1).select("doc_id", "size", "text_crc32", "hash", F.lit(0).cast("long").alias("copy"))
+    rows = numbered(rows)
     salted = F.when(F.col("copy") == 0, F.col("hash")).otherwise(F.xxhash64("hash", "copy"))
     bucket = F.pmod(salted, F.lit(slots * BUCKETS_PER_SLOT)).alias("bucket")
-    return once.unionByName(repeated).select("doc_id", "size", "text_crc32", "hash", bucket)
+    return rows.select("doc_id", "size", "text_crc32", "hash", bucket)
 
 
 def bucket_loads(records: DataFrame) -> DataFrame:

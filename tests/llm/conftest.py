@@ -9,6 +9,10 @@ TINY = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
     "spark.sql.shuffle.partitions": "8",
+    # Stored tables are read by several tasks: a hot partition is split between those that wrote to it.
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.files.openCostInBytes": "1KB",
+    "spark.sql.files.maxPartitionBytes": "64KB",
 }
 
 

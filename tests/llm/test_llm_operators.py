@@ -195,24 +195,38 @@ def test_mix_edges(spark, edge):
     assert queries.mix_by_source(edge.where("false"), workspace(spark))[0].count() == 0
 
 
-def brute_cleaned(texts, cut, normal, spans, glue):
+def brute_cleaned(texts, cut, normal, length, glue):
+    """``length`` tells how many of the units ahead make the run that begins there, None if none does."""
     units = {d: cut(t) for d, t in texts.items()}
     seen, gone = set(), defaultdict(set)
-    for k, least in spans.items():
-        for d in sorted(units):
-            for i in range(len(units[d]) - k + 1):
-                run = tuple(normal(u) for u in units[d][i : i + k])
-                if least and sum(len(u.split(" ")) for u in run) < least:
-                    continue
-                if run in seen:
-                    gone[d].update(range(i, i + k))
-                seen.add(run)
+    for d in sorted(units):
+        plain = [normal(u) for u in units[d]]
+        for i in range(len(plain)):
+            k = length(plain[i:])
+            if k is None:
+                continue
+            run = tuple(plain[i : i + k])
+            if run in seen:
+                gone[d].update(range(i, i + k))
+            seen.add(run)
     return {d: glue.join(u for i, u in enumerate(units[d]) if i not in gone[d]) if gone[d] else texts[d] for d in texts}
 
 
+def shortest(words):
+    def length(ahead):
+        held = 0
+        for k, unit in enumerate(ahead, 1):
+            held += len(unit.split(" "))
+            if k >= 2 and held >= words:
+                return k
+        return None
+
+    return length
+
+
 def test_line_windows(spark, docs):
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
-    wanted = brute_cleaned(texts, lambda t: t.split("\n"), lambda u: u, {3: 0}, "\n")
+    wanted = brute_cleaned(texts, lambda t: t.split("\n"), lambda u: u, lambda ahead: 3 if len(ahead) > 2 else None, "\n")
     assert {r["doc_id"]: r["text"] for r in line_windows.dedup_lines(docs).collect()} == wanted
 
 
@@ -220,33 +234,43 @@ def test_sentence_spans(spark, docs):
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     cut = re.compile(sentence_spans.SENTENCE).findall
     normal = lambda u: re.sub(r"[\x20\x09-\x0D]+", " ", u.lower()).strip(" ")
-    wanted = brute_cleaned(texts, cut, normal, sentence_spans.SPANS, "")
+    wanted = brute_cleaned(texts, cut, normal, shortest(sentence_spans.WORDS), "")
     assert {r["doc_id"]: r["text"] for r in sentence_spans.dedup_sentences(docs).collect()} == wanted
 
 
 def test_spans_of_short_sentences(spark):
-    talk = "Who? Me. Yes! No. Why? Go on. So be it! Oh. Fine. Well, all right. Hm. Ok."
+    talk = "Who? Me. Yes! No. Why? Go on. So be it! Oh. Fine. Well, all right. Hm. Ok. " * 2
     rows = [
-        (1, f"One begins here. {talk} One ends."),
-        (2, f"Two starts. {talk} Two stops."),
-        (3, f"Three. {talk}\n{talk} End."),
-        (4, "a! b! c! d! e! f! g! h! i! j! k! l!"),
-        (5, "z! a! b! c! d! e! f! g! h! i! j! k! m!"),
-        (6, "Born in the U.S.A. they say."),
-        (7, "Made in the U.S.A. he says."),
+        (1, f"One begins here. {talk}One ends."),
+        (2, f"Two starts. {talk}Two stops."),
+        (3, "Born in the U.S.A. they say."),
+        (4, "Made in the U.S.A. he says."),
+        (5, "Only one sentence that is very long and " + "goes on and " * 20 + "ends."),
+        (6, "Only one sentence that is very long and " + "goes on and " * 20 + "ends."),
     ]
-    found = by_id(sentence_spans.dedup_sentences(spark.createDataFrame(rows, "doc_id long, text string")))
-    assert found[1]["text"] == rows[0][1] and found[4]["text"] == rows[3][1]
-    assert found[2]["text"] == "Two starts. Two stops." and found[3]["text"] == "Three. End."
-    assert found[5]["text"] == "z! m!"
-    assert found[6]["n_removed"] == found[7]["n_removed"] == 0
+    found = by_id(sentence_spans.dedup_sentences(spark.createDataFrame(rows, "doc_id long, text string"), words=10))
+    # The second half of the talk repeats the first, so that nothing is left of it in the second text.
+    assert found[1]["n_removed"] > 0 and found[2]["text"] == "Two starts. Two stops."
+    assert all(found[d]["n_removed"] == 0 for d in (3, 4, 5, 6))
     cut, normal = re.compile(sentence_spans.SENTENCE).findall, lambda u: " ".join(u.lower().split())
     rng = random.Random(6)
     texts = {d: "".join(rng.choice(["a. ", "b c! ", "d\n", "e f g h? ", "x " * 9 + "y. ", "z " * 25 + "\n"]) for _ in range(60)) for d in range(30)}
-    for spans in (sentence_spans.SPANS, {2: 0}, {1: 3, 3: 5}, {2: 7, 3: 4, 4: 9}):
+    for words in (1, 5, 10, 20):
         given = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-        found = {r["doc_id"]: r["text"] for r in sentence_spans.dedup_sentences(given, spans=spans).collect()}
-        assert found == brute_cleaned(texts, cut, normal, spans, "")
+        found = {r["doc_id"]: r["text"] for r in sentence_spans.dedup_sentences(given, words=words).collect()}
+        assert found == brute_cleaned(texts, cut, normal, shortest(words), "")
+
+
+def test_run_hashes_do_not_depend_on_the_place():
+    rng = np.random.default_rng(4)
+    hashes = rng.integers(0, 1 << 64, 50, dtype=np.uint64)
+    whole = np.concatenate([hashes[:20], hashes, hashes[5:30]])
+    start, units = sentence_spans.shortest_runs(np.ones(len(whole), dtype=int), 4)
+    found = sentence_spans.run_hashes(whole, start, units)
+    runs = defaultdict(set)
+    for s, k, h in zip(start, units, found):
+        runs[tuple(whole[s : s + k])].add(h)
+    assert all(len(h) == 1 for h in runs.values()) and len(set().union(*runs.values())) == len(runs)
 
 
 def test_repeat_edges(edge):
