@@ -1,4 +1,12 @@
-"""A corpus pipeline of five of the operators; each stage reads what the one before wrote."""
+"""A corpus pipeline of five of the operators; each stage reads what the one before wrote.
+
+Defined results: a null or blank text has no language, so the first stage drops it, as it
+does texts without a letter. Rows equal in id and text are one document from the third
+stage on, which keeps one row of each group of near copies; a null id is a document
+as well. The mix may return a row several times, or not at all. Columns besides those of
+``documents`` are kept until the last stage, whatever their names. An empty table gives
+an empty result. Very long texts pass whole.
+"""
 
 from __future__ import annotations
 
@@ -7,20 +15,23 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from occflow.llm import bpe, language_id, line_windows, queries, simhash
-from occflow.llm.common import join_once, table, workspace
+from occflow.llm.common import boxed, join_once, table, unboxed, workspace
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a clear language."""
-    found = language_id.predict(docs, queries.language_model(docs))
-    return found.where(language_id.usable(found)).select(*[f"`{c}`" for c in docs.columns])
+    rows = boxed(docs, without=["text"], text=F.col("text"))
+    found = language_id.predict(rows, queries.language_model(docs), keep=["row", "text"])
+    return unboxed(found.where(language_id.usable(found)), docs.columns, changed={"text": F.col("text")})
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines of repeated windows; ``n_chars`` follows."""
-    cleaned = line_windows.dedup_lines(docs)
+    whole = ("text", "n_chars")
+    rows = boxed(docs, without=whole, doc_id=F.col("doc_id"), **{c: F.col(c) for c in whole})
+    cleaned = line_windows.dedup_lines(rows, stage=workspace(spark))
     length = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return cleaned.withColumn("n_chars", length).select(*[f"`{c}`" for c in docs.columns])
+    return unboxed(cleaned, docs.columns, changed={"text": F.col("text"), "n_chars": length})
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,11 +44,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     stage = workspace(spark)
     taken, _ = queries.mix_by_source(docs, stage)
     key = F.struct(F.col("id").alias("doc"), "version")
-    keys = taken.groupBy(key.alias("key")).agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(F.size("copies")).cast("int").alias("__copies")
-    )
-    once = join_once(docs, "doc_id", "text", stage.table(keys.where("__copies > 0"), "mix_keys"))
-    return once.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).drop("__copies", "__copy")
+    keys = taken.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("copies")).alias("times"))
+    return join_once(docs, "doc_id", "text", stage.table(keys.where("times > 0"), "mix_keys"), "times")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
