@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from occflow.operators import stats as stats_ops
 from occflow.operators import status as status_ops
 from occflow.operators import taxonomy
 from occflow.operators.lookups import drop_species, first_per_key, flag_matches, has_duplicates, update_from
-from occflow.sources import sinks
+from occflow.sources import run_tables, sinks
 from occflow.sources.readers import read_species_list
 from occflow.sources.staging import Stage
 from occflow.spec import RunSpec
@@ -183,20 +184,41 @@ def save_run(result: Run, base: str, spec: RunSpec) -> Run:
     )
 
 
-def export_run(result: Run, out_dir: str, spec: RunSpec) -> None:
+def stored_run(spark: SparkSession, base: str, spec: RunSpec) -> Run | None:
+    """The run's tables, if all of them are stored."""
+    names = [spec.rmd_table, spec.rms_table, spec.stats_table]
+    names += ["species_native_status"] if spec.missing_spp_run else []
+    if not all(run_tables.exists(spark, base, n) for n in names):
+        return None
+    return Run(*[_table(spark, base, n) for n in names])
+
+
+def _table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    return run_tables.read(spark, f"{base}/{name}") if "/" in base else spark.table(f"`{base}`.`{name}`")
+
+
+def _stored(base: str, name: str, build: Callable[[], DataFrame], spark: SparkSession, resume: bool) -> DataFrame:
+    """The table as stored; on ``resume`` not made again if it is there."""
+    if resume and run_tables.exists(spark, base, name):
+        return _table(spark, base, name)
+    return sinks.save_run_table(build(), base, name)
+
+
+def export_run(result: Run, out_dir: str, spec: RunSpec, resume: bool = False) -> None:
     """Write the species list, the points of each species and the attributes."""
     if not spec.save:
         return
     folder = f"{out_dir}/{spec.data_dir}"
-    sinks.guard_output(result.rmd.sparkSession, folder)
-    sinks.export_species_list(result.rmd, f"{folder}/range_model_species")
-    sinks.export_by_species(result.rmd, f"{folder}/species")
-    sinks.export_csv(sinks.species_attributes(result.rms), f"{folder}/{spec.attributes_file}")
+    if not resume:
+        sinks.guard_output(result.rmd.sparkSession, folder)
+    sinks.export_species_list(result.rmd, f"{folder}/range_model_species", resume=resume)
+    sinks.export_by_species(result.rmd, f"{folder}/species", resume=resume)
+    sinks.export_csv(sinks.species_attributes(result.rms), f"{folder}/{spec.attributes_file}", resume=resume)
 
 
-def _prepare(spark: SparkSession, base: str, folder: str | None) -> None:
+def _prepare(spark: SparkSession, base: str, folder: str | None, resume: bool = False) -> None:
     """Before any work: refuse an output folder that is there, make the schema that ``base`` names."""
-    if folder:
+    if folder and not resume:
         sinks.guard_output(spark, folder)
     if "/" not in base:
         sinks.ensure_schema(spark, base)
@@ -209,16 +231,23 @@ def run_and_export(
     base: str,
     out_dir: str,
     previous: DataFrame | None = None,
+    resume: bool = False,
 ) -> Run:
-    """The complete job. Checks the output first and clears what it staged."""
+    """The complete job. Checks the output first and clears what it staged.
+
+    ``resume`` takes up a job of this run that failed: tables that are all stored are
+    used as they are, and only what the export lacks is written.
+    """
     spark = occ.sparkSession
-    _prepare(spark, base, f"{out_dir}/{spec.data_dir}" if spec.save else None)
-    stage = Stage(spark)
-    try:
-        stored = save_run(run(occ, growth_forms, spec, stage, previous), base, spec)
-    finally:
-        stage.clear()
-    export_run(stored, out_dir, spec)
+    _prepare(spark, base, f"{out_dir}/{spec.data_dir}" if spec.save else None, resume)
+    stored = stored_run(spark, base, spec) if resume else None
+    if stored is None:
+        stage = Stage(spark)
+        try:
+            stored = save_run(run(occ, growth_forms, spec, stage, previous), base, spec)
+        finally:
+            stage.clear()
+    export_run(stored, out_dir, spec, resume)
     return stored
 
 
@@ -232,20 +261,20 @@ def unfiltered_run(occ: DataFrame, run_code: str = "unfiltered", limit: int | No
 
 
 def run_unfiltered(
-    occ: DataFrame, base: str, out_dir: str, run_code: str = "unfiltered", limit: int | None = None
+    occ: DataFrame, base: str, out_dir: str, run_code: str = "unfiltered", limit: int | None = None, resume: bool = False
 ) -> DataFrame:
     """The complete unfiltered job: checks the output, stores the table, exports the stored one."""
-    spec = unfiltered_spec(run_code, limit)
+    spark, spec = occ.sparkSession, unfiltered_spec(run_code, limit)
     folder = f"{out_dir}/{spec.data_dir}"
-    _prepare(occ.sparkSession, base, folder)
-    stored = sinks.save_run_table(extract(occ, spec), base, spec.rmd_table)
-    export_unfiltered(stored, folder)
+    _prepare(spark, base, folder, resume)
+    stored = _stored(base, spec.rmd_table, lambda: extract(occ, spec), spark, resume)
+    export_unfiltered(stored, folder, resume)
     return stored
 
 
-def export_unfiltered(observations: DataFrame, path: str) -> None:
-    sinks.export_species_list(observations, f"{path}/range_model_species")
-    sinks.export_by_species(observations, f"{path}/species", columns=["*"])
+def export_unfiltered(observations: DataFrame, path: str, resume: bool = False) -> None:
+    sinks.export_species_list(observations, f"{path}/range_model_species", resume=resume)
+    sinks.export_by_species(observations, f"{path}/species", columns=["*"], resume=resume)
 
 
 def legacy_run(
@@ -256,23 +285,24 @@ def legacy_run(
     return observations, species_ops.species_table_by_group(observations, growth_forms)
 
 
-def export_legacy(observations: DataFrame, species: DataFrame, path: str) -> None:
-    sinks.export_species_list(observations, f"{path}/species_list")
-    sinks.export_by_species(observations, f"{path}/species", header=False)
-    sinks.export_csv(sinks.species_attributes(species), f"{path}/species_attributes.csv")
+def export_legacy(observations: DataFrame, species: DataFrame, path: str, resume: bool = False) -> None:
+    sinks.export_species_list(observations, f"{path}/species_list", resume=resume)
+    sinks.export_by_species(observations, f"{path}/species", header=False, resume=resume)
+    sinks.export_csv(sinks.species_attributes(species), f"{path}/species_attributes.csv", resume=resume)
 
 
 def run_legacy(
-    occ: DataFrame, growth_forms: DataFrame, spec: RunSpec, base: str, out_dir: str
+    occ: DataFrame, growth_forms: DataFrame, spec: RunSpec, base: str, out_dir: str, resume: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """The complete one-filter job; the species table comes from the stored observations."""
-    folder = f"{out_dir}/{spec.data_dir}"
-    _prepare(occ.sparkSession, base, folder if spec.save else None)
-    observations = sinks.save_run_table(extract(occ, spec), base, spec.rmd_table)
-    species = species_ops.species_table_by_group(observations, growth_forms)
-    species = sinks.save_run_table(species, base, spec.rms_table)
+    spark, folder = occ.sparkSession, f"{out_dir}/{spec.data_dir}"
+    _prepare(spark, base, folder if spec.save else None, resume)
+    observations = _stored(base, spec.rmd_table, lambda: extract(occ, spec), spark, resume)
+    species = _stored(
+        base, spec.rms_table, lambda: species_ops.species_table_by_group(observations, growth_forms), spark, resume
+    )
     if spec.save:
-        export_legacy(observations, species, folder)
+        export_legacy(observations, species, folder, resume)
     return observations, species
 
 
@@ -353,7 +383,7 @@ def flag_metadata(metadata: DataFrame, flagged: DataFrame, run_code: str) -> Dat
 
 
 def run_flagging(
-    raw: DataFrame, metadata: DataFrame, occ: DataFrame, run_code: str, base: str, out_dir: str
+    raw: DataFrame, metadata: DataFrame, occ: DataFrame, run_code: str, base: str, out_dir: str, resume: bool = False
 ) -> FlaggedRun:
     """The complete flagging job: checks the output, stores both tables, exports the stored ones.
 
@@ -361,18 +391,27 @@ def run_flagging(
     """
     spark = raw.sparkSession
     folder = f"{out_dir}/rm_data_{run_code}"
-    _prepare(spark, base, folder)
+    _prepare(spark, base, folder, resume)
     stage = Stage(spark)
     try:
-        flagged = flagging_run(raw, metadata, occ, run_code, stage).observations
-        observations = sinks.save_run_table(flagged, base, f"range_model_data_flagged_{run_code}")
+        observations = _stored(
+            base,
+            f"range_model_data_flagged_{run_code}",
+            lambda: flagging_run(raw, metadata, occ, run_code, stage).observations,
+            spark,
+            resume,
+        )
     finally:
         stage.clear()
-    described = flag_metadata(metadata, observations, run_code)
-    stored = FlaggedRun(
-        observations, sinks.save_run_table(described, base, f"range_model_metadata_flagged_{run_code}")
+    described = _stored(
+        base,
+        f"range_model_metadata_flagged_{run_code}",
+        lambda: flag_metadata(metadata, observations, run_code),
+        spark,
+        resume,
     )
-    export_flagged(stored, run_code, folder)
+    stored = FlaggedRun(observations, described)
+    export_flagged(stored, run_code, folder, resume)
     return stored
 
 
@@ -409,16 +448,17 @@ def update_native_status(raw: DataFrame, occ: DataFrame, stage: Stage) -> DataFr
     )
 
 
-def export_flagged(result: FlaggedRun, run_code: str, path: str) -> None:
+def export_flagged(result: FlaggedRun, run_code: str, path: str, resume: bool = False) -> None:
     used = result.observations.filter(F.col(f"is_range_model_ob_{run_code}") == 1)
     sinks.export_species_list(
-        result.observations, f"{path}/species_list_all", column=C.SPECIES
+        result.observations, f"{path}/species_list_all", column=C.SPECIES, resume=resume
     )
-    sinks.export_species_list(used, f"{path}/species_list_{run_code}", column=C.SPECIES)
-    sinks.export_by_species(used, f"{path}/species", header=False)
+    sinks.export_species_list(used, f"{path}/species_list_{run_code}", column=C.SPECIES, resume=resume)
+    sinks.export_by_species(used, f"{path}/species", header=False, resume=resume)
     sinks.export_csv(
         sinks.metadata_attributes(result.metadata, f"is_range_model_species_{run_code}"),
         f"{path}/species_attributes.csv",
+        resume=resume,
     )
 
 

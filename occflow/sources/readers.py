@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from occflow.operators.lookups import has_duplicates
+from occflow.sources import run_tables
 
 # Fields are written and read verbatim: quotes doubled, blanks kept, an empty
 # string quoted and null left empty.
@@ -21,8 +22,8 @@ CSV_DIALECT = {
 
 
 def read_table(spark: SparkSession, source: str) -> DataFrame:
-    """A Parquet directory when ``source`` looks like a path, else a catalog table."""
-    return spark.read.parquet(source) if "/" in source else spark.table(source)
+    """A Parquet directory or run table when ``source`` looks like a path, else a catalog table."""
+    return run_tables.read(spark, source)
 
 
 def read_occurrences(spark: SparkSession, source: str) -> DataFrame:
@@ -30,15 +31,21 @@ def read_occurrences(spark: SparkSession, source: str) -> DataFrame:
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: str | StructType, header: bool, free_text: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: str | StructType,
+    header: bool,
+    free_text: bool = False,
+    skip_damaged: bool = False,
 ) -> DataFrame:
     """Files of our dialect, as written: an empty field is null, a quoted empty one an empty string.
 
     ``free_text`` allows line breaks within fields. A file is then read by one task, so
-    keep such files moderate in size.
+    keep such files moderate in size. ``skip_damaged`` passes over the rest of a file that
+    can't be read.
     """
     # A text that no field holds stands for null, so that a quoted empty field isn't null.
-    options = {**CSV_DIALECT, "emptyValue": "", "nullValue": "\x00", "multiLine": free_text}
+    options = {**CSV_DIALECT, "emptyValue": "", "nullValue": "\x00", "multiLine": free_text, "ignoreCorruptFiles": skip_damaged}
     return spark.read.schema(schema).options(header=header, **options).csv(path)
 
 

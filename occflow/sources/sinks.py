@@ -8,72 +8,51 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occflow import constants as C
+from occflow.sources import run_tables, species_export
 from occflow.sources.readers import CSV_DIALECT
 from occflow.sources.staging import hadoop_path
 
-SPECIES_DIR = "species_file"
+SPECIES_DIR = species_export.SPECIES_DIR
 POINT_COLUMNS = (C.OBS_ID, f"{C.NOSPACE} AS species", "latitude", "longitude")
 
 
-
 def ensure_schema(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
 def save_run_table(df: DataFrame, base: str, name: str, cluster_by: Sequence[str] = ()) -> DataFrame:
-    """Replace run table ``name`` and return it as stored.
+    """Replace run table ``name`` in one step and return it as stored; see ``run_tables``.
 
     ``base`` is a directory, or a catalog schema when it has no slash. Rows
     sorted by ``cluster_by`` let later reads of single keys skip most of the
     data; intervals that end in a unique column also divide a key of many rows.
     """
-    spark = df.sparkSession
-    if cluster_by:
-        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
-    if "/" in base:
-        target = f"{base}/{name}"
-        df.write.mode("overwrite").parquet(target)
-        return spark.read.schema(df.schema).parquet(target)
-    target = f"`{base}`.`{name}`"
-    df.write.mode("overwrite").format("parquet").saveAsTable(target)
-    return spark.table(target)
+    return run_tables.save(df, base, name, cluster_by)
 
 
 def guard_output(spark: SparkSession, path: str) -> None:
-    """Fail before any work when an output directory is already there."""
+    """Fail before any work when an output directory is already there.
+
+    A job that is to take up an unfinished output is called with ``resume`` and isn't guarded.
+    """
     jpath, fs = hadoop_path(spark, path)
     if fs.exists(jpath):
         raise FileExistsError(f"output directory exists: {path}")
 
 
-def export_csv(df: DataFrame, path: str, header: bool = True) -> None:
-    df.write.options(header=header, **CSV_DIALECT).mode("errorifexists").csv(path)
+def export_csv(df: DataFrame, path: str, header: bool = True, resume: bool = False) -> None:
+    """``resume`` keeps a finished folder and replaces an unfinished one; otherwise one that exists is refused."""
+    done, fs = hadoop_path(df.sparkSession, f"{path}/_SUCCESS")
+    if not (resume and fs.exists(done)):
+        df.write.options(header=header, **CSV_DIALECT).mode("overwrite" if resume else "errorifexists").csv(path)
 
 
 def species_list(observations: DataFrame, column: str = C.NOSPACE) -> DataFrame:
     return observations.select(column).distinct().orderBy(F.col(column).asc_nulls_last())
 
 
-def export_species_list(observations: DataFrame, path: str, column: str = C.NOSPACE) -> None:
-    export_csv(species_list(observations, column), path, header=False)
-
-
-def by_species(observations: DataFrame, columns: Sequence[str] = POINT_COLUMNS) -> DataFrame:
-    """Lay observations out by species, ordered by id.
-
-    Rows are cut into intervals of species and id, the same way whatever a species
-    holds, so a hot one spreads over tasks. A species that crosses an interval's end
-    gets a further part; parts are in id order by name. Adaptive execution sizes the
-    intervals by bytes.
-    """
-    # The key is repeated because the partition column is not part of the files.
-    # It must not be nullable, or the writer would sort again and lose the id order.
-    laid_out = observations.filter(F.col(C.NOSPACE).isNotNull()).selectExpr(
-        *columns, f"coalesce({C.NOSPACE}, '') AS {SPECIES_DIR}", f"{C.OBS_ID} AS __id"
-    )
-    return (
-        laid_out.repartitionByRange(SPECIES_DIR, "__id").sortWithinPartitions(SPECIES_DIR, "__id").drop("__id")
-    )
+def export_species_list(observations: DataFrame, path: str, column: str = C.NOSPACE, resume: bool = False) -> None:
+    export_csv(species_list(observations, column), path, header=False, resume=resume)
 
 
 def export_by_species(
@@ -81,15 +60,10 @@ def export_by_species(
     path: str,
     columns: Sequence[str] = POINT_COLUMNS,
     header: bool = True,
+    resume: bool = False,
 ) -> None:
-    """One directory per species in a single job, in place of one query per species."""
-    (
-        by_species(observations, columns)
-        .write.options(header=header, **CSV_DIALECT)
-        .mode("errorifexists")
-        .partitionBy(SPECIES_DIR)
-        .csv(path)
-    )
+    """One directory per species in a single job, in place of one query per species; see ``species_export``."""
+    species_export.export_by_species(observations, path, columns, header, resume)
 
 
 def flatten_by_species(spark: SparkSession, path: str) -> None:

@@ -1,0 +1,210 @@
+"""Exports by species: dealt by weight, listed in a manifest, and taken up again after a failure."""
+
+import glob
+import os
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from occflow import constants as C
+from occflow.plans import runs
+from occflow.sources import layout, readers, run_tables, sinks, species_export
+from occflow.spec import RunSpec
+from verification import fixtures
+
+
+def observations(spark, species=300, hot=6000):
+    """Many small species, one large one with clustered, repeated and missing ids, and rows without a species."""
+    small = spark.range(species * 3).select(
+        (F.col("id") * 7919 % 100_003).alias(C.OBS_ID),
+        F.concat(F.lit("Small_"), (F.col("id") % species).cast("string")).alias(C.NOSPACE),
+        F.lit("plain").alias("note"),
+    )
+    large = spark.range(hot).select(
+        F.when(F.col("id") % 50 == 0, None).when(F.col("id") % 3 == 0, F.col("id") * 1_000_000).otherwise(F.col("id") % 40).alias(C.OBS_ID),
+        F.lit("Large one/with: signs=%").alias(C.NOSPACE),
+        F.when(F.col("id") % 7 == 0, "line\nbreak, and \"quote\"").when(F.col("id") % 7 == 1, "").alias("note"),
+    )
+    none = spark.range(5).select(F.col("id").alias(C.OBS_ID), F.lit(None).cast("string").alias(C.NOSPACE), F.lit("x").alias("note"))
+    whole = small.union(large).union(none)
+    return whole.withColumn("part", F.col(C.OBS_ID) % 3).withColumn("start", F.lit(1.5)).withColumn("__id", F.lit("own"))
+
+
+def content(path):
+    """Lines of every file by folder and part number."""
+    found = {}
+    for name in sorted(glob.glob(f"{path}/species_file=*/part-*.csv")):
+        key = (os.path.basename(os.path.dirname(name)), os.path.basename(name).split("-")[1])
+        assert key not in found
+        with open(name, newline="") as file:
+            found[key] = file.read()
+    return found
+
+
+@pytest.fixture
+def light_files(monkeypatch):
+    """Files cost little, so that the large species is cut."""
+    monkeypatch.setattr(layout, "FILE_COST", 64)
+    monkeypatch.setattr(layout, "PART_WEIGHT", 1 << 14)
+
+
+def test_many_small_species_are_spread_over_all_tasks(spark, tmp_path):
+    df = observations(spark, species=400, hot=0)
+    path = str(tmp_path / "species")
+    sinks.export_by_species(df, path, columns=[C.OBS_ID, "note"])
+    files = Counter(r["part"] for r in species_export.manifest(spark, path).collect())
+    cores = spark.sparkContext.defaultParallelism
+    assert len(files) >= cores and max(files.values()) <= 400 / cores * 1.1 + 1
+    assert len(content(path)) == 400
+
+
+def test_parts_weigh_about_the_same(spark, stage, light_files):
+    export = species_export.Export(observations(spark), ["*"])
+    plan = export.plan(stage.table)
+    cut = plan.species.where("slices > 1").collect()
+    assert [r["file"] for r in cut] == ["Large one/with: signs=%"]
+    sizes = Counter()
+    for r in plan.parts.collect():
+        sizes[r["part"]] += r["rows"]
+    assert sum(sizes.values()) == 6900 and max(sizes) < plan.count
+    rows = export.dealt(plan).withColumn("task", F.spark_partition_id())
+    assert rows.select("task").distinct().count() == len(sizes)
+    loads = rows.groupBy("task").agg(F.sum(F.octet_length(layout.line(export.columns)) + 1).alias("bytes")).collect()
+    # Ids that repeat can't be cut between, and a third of the large species has forty ids.
+    assert max(r["bytes"] for r in loads) < 4 * plan.size
+
+
+def test_a_species_is_cut_in_id_order(spark, stage, light_files):
+    export = species_export.Export(observations(spark), ["*"])
+    rows = export.dealt(export.plan(stage.table)).where("species_file like 'Large%'").withColumn("task", F.spark_partition_id())
+    stretches = rows.groupBy("task").agg(F.min(C.OBS_ID).alias("low"), F.max(C.OBS_ID).alias("high")).orderBy("task").collect()
+    assert len(stretches) > 5
+    ends = [(r["low"], r["high"]) for r in stretches if r["low"] is not None]
+    assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+
+
+def test_the_manifest_lists_what_was_written(spark, tmp_path, light_files):
+    df = observations(spark)
+    path = str(tmp_path / "species")
+    sinks.export_by_species(df, path, columns=["*"])
+    listed = {(r["file"], r["part"]): (r["rows"], r["digest"]) for r in species_export.manifest(spark, path).collect()}
+    export = species_export.Export(df, ["*"])
+    present = species_export._present(spark, path, export.columns, True).collect()
+    assert listed == {(r["file"], r["part"]): (r["rows"], r["digest"]) for r in present}
+    assert all(len(r["paths"]) == 1 for r in present)
+    assert sum(n for n, _ in listed.values()) == 6900
+
+
+def test_an_export_is_taken_up_where_it_ended(spark, tmp_path, light_files):
+    df = observations(spark)
+    whole, broken = str(tmp_path / "whole"), str(tmp_path / "broken")
+    for path in (whole, broken):
+        sinks.export_by_species(df, path, columns=["*"])
+    # As after a failure: no manifest, files missing, cut short, written twice, and half of a task's folder.
+    for name in glob.glob(f"{broken}/_manifest/*") + glob.glob(f"{broken}/_manifest/.*"):
+        os.remove(name)
+    names = sorted(glob.glob(f"{broken}/species_file=*/part-*.csv"))
+    for name in names[::3]:
+        os.remove(name)
+    for name in names[1:40:3]:
+        with open(name, "r+") as file:
+            file.truncate(os.path.getsize(name) // 2)
+    for name in names[2:30:3]:
+        with open(name) as file, open(name.replace("part-", "part-").replace(".csv", "x.csv"), "w") as copy:
+            copy.write(file.read())
+    kept = names[200:400:3]
+    kept = [n for n in kept if os.path.exists(n)]
+    times = {n: os.stat(n).st_mtime_ns for n in kept}
+    sinks.export_by_species(df, broken, columns=["*"], resume=True)
+    assert content(broken) == content(whole)
+    assert {n: os.stat(n).st_mtime_ns for n in kept} == times
+    assert species_export.manifest(spark, broken).count() == species_export.manifest(spark, whole).count()
+    # A finished one is left alone.
+    before = {n: os.stat(n).st_mtime_ns for n in glob.glob(f"{broken}/*/*")}
+    sinks.export_by_species(df, broken, columns=["*"], resume=True)
+    assert {n: os.stat(n).st_mtime_ns for n in glob.glob(f"{broken}/*/*")} == before
+
+
+def test_an_export_without_a_whole_layout_starts_again(spark, tmp_path):
+    df = observations(spark, species=5, hot=10)
+    path = str(tmp_path / "species")
+    with pytest.raises(FileExistsError):
+        os.makedirs(path)
+        sinks.export_by_species(df, path, columns=["*"])
+    spark.range(3).write.parquet(f"{path}/_layout/species")
+    sinks.export_by_species(df, path, columns=["*"], resume=True)
+    assert len(content(path)) == 6
+
+
+def test_a_failed_job_is_taken_up(spark, sf_dir, tmp_path, monkeypatch):
+    occ = fixtures.occurrences(spark, sf_dir)
+    growth_forms = fixtures.lookup(spark, sf_dir, "species_growth_forms")
+    base, out, spec = f"{tmp_path}/base", f"{tmp_path}/out", RunSpec("r")
+
+    def fails(*a, **b):
+        raise RuntimeError("executors are gone")
+
+    monkeypatch.setattr(sinks, "export_by_species", fails)
+    with pytest.raises(RuntimeError):
+        runs.run_and_export(occ, growth_forms, spec, base, out)
+    monkeypatch.undo()
+    with pytest.raises(FileExistsError):
+        runs.run_and_export(occ, growth_forms, spec, base, out)
+    # The tables are all stored: they are not made again.
+    monkeypatch.setattr(runs, "run", fails)
+    stored = runs.run_and_export(occ, growth_forms, spec, base, out, resume=True)
+    monkeypatch.undo()
+    schema = "taxonobservation_id long, species string, latitude double, longitude double, species_file string"
+    back = readers.read_csv(spark, f"{out}/{spec.data_dir}/species", schema, header=True)
+    assert back.count() == stored.rmd.where(F.col(C.NOSPACE).isNotNull()).count()
+    assert os.path.exists(f"{out}/{spec.data_dir}/{spec.attributes_file}/_SUCCESS")
+    whole = runs.run_unfiltered(occ.limit(50), base, out, "u")
+    again = runs.run_unfiltered(occ.where("false"), base, out, "u", resume=True)
+    assert whole.count() == again.count() == 50
+
+
+def failing(spark):
+    return spark.range(100).select(F.when(F.col("id") == 99, F.raise_error(F.lit("lost")).cast("long")).otherwise(F.col("id")).alias("id"))
+
+
+@pytest.mark.parametrize("kind", ["folder", "catalog"])
+def test_a_failing_write_leaves_the_old_table(spark, tmp_path, kind):
+    base = str(tmp_path) if kind == "folder" else "occ_atomic"
+    source = f"{base}/t" if kind == "folder" else f"{base}.t"
+    if kind == "catalog":
+        sinks.ensure_schema(spark, base)
+    assert not run_tables.exists(spark, base, "t")
+    with pytest.raises(Exception, match="lost"):
+        sinks.save_run_table(failing(spark), base, "t")
+    assert not run_tables.exists(spark, base, "t")
+    first = sinks.save_run_table(spark.range(3), base, "t")
+    assert run_tables.exists(spark, base, "t")
+    with pytest.raises(Exception, match="lost"):
+        sinks.save_run_table(failing(spark), base, "t")
+    assert readers.read_table(spark, source).count() == 3 == first.count()
+    # A table can be replaced from itself.
+    sinks.save_run_table(readers.read_table(spark, source).withColumn("twice", F.col("id") * 2), base, "t")
+    assert readers.read_table(spark, source).columns == ["id", "twice"]
+
+
+def test_the_version_before_stays_readable_and_older_ones_go(spark, tmp_path):
+    base = str(tmp_path)
+    tables = [sinks.save_run_table(spark.range(n), base, "t") for n in (1, 2, 3)]
+    assert [t.count() for t in tables[1:]] == [2, 3]
+    assert len(glob.glob(f"{base}/t/v-*")) == 2
+    assert readers.read_table(spark, f"{base}/t").count() == 3
+    sinks.ensure_schema(spark, "occ_versions")
+    for n in (1, 2, 3):
+        sinks.save_run_table(spark.range(n), "occ_versions", "t")
+    names = [r["tableName"] for r in spark.sql("SHOW TABLES IN occ_versions").collect()]
+    assert "t" in names and len([n for n in names if n.startswith("t__v_")]) == 2
+    assert spark.table("occ_versions.t").count() == 3
+
+
+def test_a_plain_folder_or_table_is_still_read(spark, tmp_path):
+    spark.range(4).write.parquet(f"{tmp_path}/plain")
+    assert readers.read_table(spark, f"{tmp_path}/plain").count() == 4
+    sinks.ensure_schema(spark, "occ_plain")
+    spark.range(5).write.saveAsTable("occ_plain.t")
+    assert sinks.save_run_table(spark.range(6), "occ_plain", "t").count() == 6

@@ -9,7 +9,7 @@ from occflow import constants as C
 from occflow.functions import derive
 from occflow.operators import lookups, taxonomy
 from occflow.plans import checks, runs
-from occflow.sources import sinks
+from occflow.sources import layout, sinks, species_export
 from occflow.spec import RunSpec
 from verification import fixtures, registry
 
@@ -175,16 +175,12 @@ def test_a_hot_species_is_split_when_nothing_can_be_broadcast(spark, stage, sett
         assert df.count() == expected
 
 
-def test_a_hot_species_is_divided_on_export(spark, stage, settings):
-    settings(spark__sql__shuffle__partitions="20", spark__sql__adaptive__coalescePartitions__enabled="false")
+def test_a_hot_species_is_divided_on_export(spark, stage, monkeypatch):
     observations = stage.table(hot_observations(spark), "observations")
-    sizes = [
-        r["count"]
-        for r in sinks.by_species(observations)
-        .groupBy(F.spark_partition_id().alias("p"))
-        .count()
-        .collect()
-    ]
+    monkeypatch.setattr(layout, "PART_WEIGHT", 1 << 19)
+    export = species_export.Export(observations, sinks.POINT_COLUMNS)
+    dealt = export.dealt(export.plan(stage.table))
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     assert sum(sizes) == 200_000
     assert max(sizes) < 20_000
 
