@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from occflow import constants as C
+from occflow.sources.staging import Stage
 
 
 def nulls_last_struct(columns: Sequence[str]) -> Column:
@@ -95,6 +96,24 @@ def flag_matches(
     )
 
 
+def alike(occ: DataFrame, raw: DataFrame, stage: Stage | None = None) -> DataFrame:
+    """Occurrences that can be those of rows in ``raw``: of its species, and within its range of ids.
+
+    A reduction before a join by id, which stays exact: an occurrence has the species of
+    its row. The range reaches the scan as a filter, where row groups outside it are
+    skipped; it also is what lets Spark build a Bloom filter of the ids at run time and
+    apply it below the exchange (``spark.sql.optimizer.runtime.bloomFilter``), for as
+    long as that filter's size is within its limits. The species are staged, so that
+    their size is known: few are broadcast.
+    """
+    ends = raw.agg(F.min(C.OBS_ID).alias("low"), F.max(C.OBS_ID).alias("high")).first()
+    near = occ.filter(F.col(C.OBS_ID).between(ends["low"], ends["high"]))
+    names = raw.select(C.SPECIES).distinct()
+    names = names if stage is None else stage.table(names, "raw_species")
+    lookup = names.select(F.col(C.SPECIES).alias("__species"))
+    return near.join(lookup, F.col(C.SPECIES).eqNullSafe(F.col("__species")), "left_semi")
+
+
 def drop_species(observations: DataFrame, species: DataFrame) -> DataFrame:
     """Remove the observations of the given species."""
     return observations.join(species.select(C.SPECIES), C.SPECIES, "left_anti").select(

@@ -171,7 +171,9 @@ def overlap_rows(species: DataFrame, reflagged: DataFrame) -> DataFrame:
 
 
 def append_stats(stats: DataFrame, rows: DataFrame) -> DataFrame:
-    return stats.unionByName(rows)
+    """``stats`` with ``rows``, in place of rows that have the same id and label: appending twice changes nothing."""
+    same = [stats[c].eqNullSafe(rows[c]) for c in ("id", "period")]
+    return stats.join(rows.select("id", "period"), same, "left_anti").unionByName(rows)
 
 
 def clear_stats(stats: DataFrame, text: str) -> DataFrame:

@@ -12,7 +12,7 @@ from occflow.functions import derive, filters
 from occflow.operators import stats as stats_ops
 from occflow.operators import status as status_ops
 from occflow.operators import taxonomy
-from occflow.operators.lookups import update_from
+from occflow.operators.lookups import alike, update_from
 from occflow.sources.staging import Stage
 from occflow.spec import RunSpec
 
@@ -28,9 +28,13 @@ def _asc(*names: str) -> list[Column]:
 # --- Dates ---
 
 
-def backfill_dates(raw: DataFrame, occ: DataFrame) -> DataFrame:
-    """Take event dates from the occurrences by id, the earliest of each, and derive year and decade."""
-    dated = occ.filter(F.col("event_date").isNotNull()).select(C.OBS_ID, "event_date")
+def backfill_dates(raw: DataFrame, occ: DataFrame, stage: Stage | None = None) -> DataFrame:
+    """Take event dates from the occurrences by id, the earliest of each, and derive year and decade.
+
+    Occurrences are cut to the ids and species of ``raw`` before they are shuffled.
+    """
+    dated = occ.filter(F.col("event_date").isNotNull()).select(C.OBS_ID, C.SPECIES, "event_date")
+    dated = alike(dated, raw, stage).select(C.OBS_ID, "event_date")
     return (
         update_from(
             raw.drop("event_date", "event_year", "decade"),
@@ -255,7 +259,11 @@ def with_names(df: DataFrame, names: Names, column: str = C.SPECIES) -> DataFram
 
 
 def _with_occurrence(raw: DataFrame, occ: DataFrame, *occ_columns: str) -> DataFrame:
-    """Raw rows with columns of their occurrence, prefixed ``occ_``."""
+    """Raw rows with columns of their occurrence, prefixed ``occ_``.
+
+    An occurrence has the species of its raw row: whoever selects names or prefixes in
+    ``raw`` does so in ``occ`` as well, and the rest of it is never shuffled.
+    """
     source = occ.select(C.OBS_ID, *[F.col(c).alias(f"occ_{c}") for c in occ_columns])
     return raw.join(source, C.OBS_ID, "inner")
 
@@ -267,7 +275,8 @@ def species_counts(raw: DataFrame, names: Names) -> DataFrame:
 
 def species_in_country(raw: DataFrame, occ: DataFrame, names: Names, country: str) -> DataFrame:
     listed = with_names(raw.select(C.OBS_ID, C.SPECIES, "latitude", "longitude"), names)
-    return _with_occurrence(listed, occ.filter(F.col("country") == country)).select(
+    located = with_names(occ.filter(F.col("country") == country).select(C.OBS_ID, C.SPECIES), names)
+    return _with_occurrence(listed, located).select(
         C.OBS_ID, F.col(C.SPECIES).alias("species"), "latitude", "longitude"
     )
 
@@ -278,7 +287,8 @@ def _prefixed_in_continent(
     listed = raw.filter(filters.any_prefix(F.col(C.SPECIES), prefixes)).select(
         C.OBS_ID, F.col(C.SPECIES).alias("species"), "latitude", "longitude"
     )
-    return _with_occurrence(listed, occ.filter(F.col("continent") == continent), *occ_columns)
+    located = occ.filter((F.col("continent") == continent) & filters.any_prefix(F.col(C.SPECIES), prefixes))
+    return _with_occurrence(listed, located, *occ_columns)
 
 
 def prefixed_in_continent(
@@ -383,7 +393,7 @@ def raw_species_by_country(
     listed = with_names(occ.select(C.OBS_ID, C.SPECIES, "country"), names)
     located = in_countries(listed, country, F.lit(True) if where is None else where)
     return (
-        located.join(raw.select(C.OBS_ID), C.OBS_ID, "inner")
+        located.join(with_names(raw.select(C.OBS_ID, C.SPECIES), names).select(C.OBS_ID), C.OBS_ID, "inner")
         .groupBy(F.col(C.SPECIES).alias("species"), "country")
         .agg(_n().alias("observations"))
         .orderBy(*_asc("species", "country"))

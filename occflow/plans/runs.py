@@ -14,7 +14,8 @@ from occflow.operators import species as species_ops
 from occflow.operators import stats as stats_ops
 from occflow.operators import status as status_ops
 from occflow.operators import taxonomy
-from occflow.operators.lookups import drop_species, first_per_key, flag_matches, has_duplicates, update_from
+from occflow.operators.limits import lowest
+from occflow.operators.lookups import alike, drop_species, first_per_key, flag_matches, has_duplicates, update_from
 from occflow.sources import run_tables, sinks
 from occflow.sources.readers import read_species_list
 from occflow.sources.staging import Stage
@@ -175,7 +176,7 @@ def save_run(result: Run, base: str, spec: RunSpec) -> Run:
     native = result.native_status
     return replace(
         result,
-        rmd=sinks.save_run_table(result.rmd, base, spec.rmd_table),
+        rmd=run_tables.save(result.rmd, base, spec.rmd_table, sinks.OBSERVATIONS),
         rms=sinks.save_run_table(result.rms, base, spec.rms_table),
         stats=sinks.save_run_table(result.stats, base, spec.stats_table),
         native_status=None
@@ -204,6 +205,20 @@ def _stored(base: str, name: str, build: Callable[[], DataFrame], spark: SparkSe
     return sinks.save_run_table(build(), base, name)
 
 
+def append_run_stats(rows: DataFrame, base: str, spec: RunSpec) -> DataFrame:
+    """Add rows to the stored statistics of a run, in one step; those of the same id and label are replaced."""
+    spark = rows.sparkSession
+    if run_tables.exists(spark, base, spec.stats_table):
+        rows = stats_ops.append_stats(_table(spark, base, spec.stats_table), rows)
+    return sinks.save_run_table(rows, base, spec.stats_table)
+
+
+def clear_run_stats(spark: SparkSession, text: str, base: str, spec: RunSpec) -> DataFrame:
+    """Remove the stored rows whose label contains ``text``, in one step."""
+    kept = stats_ops.clear_stats(_table(spark, base, spec.stats_table), text)
+    return sinks.save_run_table(kept, base, spec.stats_table)
+
+
 def export_run(result: Run, out_dir: str, spec: RunSpec, resume: bool = False) -> None:
     """Write the species list, the points of each species and the attributes."""
     if not spec.save:
@@ -433,12 +448,7 @@ def update_native_status(raw: DataFrame, occ: DataFrame, stage: Stage) -> DataFr
 
     Of several occurrences of one id the first counts, ascending with nulls last.
     """
-    names = stage.table(
-        raw.select(C.SPECIES).filter(filters.has_species()).distinct(), "raw_species"
-    )
-    source = occ.select(C.OBS_ID, C.SPECIES, "native_status", "is_introduced").join(
-        names, C.SPECIES, "left_semi"
-    )
+    source = alike(occ.select(C.OBS_ID, C.SPECIES, "native_status", "is_introduced"), raw, stage)
     return update_from(
         raw,
         source,
@@ -496,7 +506,7 @@ def sample_tables(
     raw: DataFrame, metadata: DataFrame, rows: int = 100
 ) -> tuple[DataFrame, DataFrame]:
     """A small sample of raw, lowest ids first, and the metadata of its species."""
-    sample = raw.orderBy(F.col(C.OBS_ID).asc_nulls_last()).limit(rows)
+    sample = lowest(raw, C.OBS_ID, rows)
     matching = (
         metadata.join(sample.select(C.SPECIES), C.SPECIES, "left_semi")
         .select(*metadata.columns)

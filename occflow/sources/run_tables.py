@@ -13,8 +13,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql.types import StructType
 
 from occflow.sources.staging import hadoop_path
@@ -23,8 +24,38 @@ POINTER = "_current"
 CURRENT, PREVIOUS = "occflow.current", "occflow.previous"
 
 
-def _clustered(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    return df.repartitionByRange(*by).sortWithinPartitions(*by) if by else df
+@dataclass(frozen=True)
+class Arrangement:
+    """How the rows of a table lie.
+
+    Rows sorted by ``cluster_by`` let reads of single keys skip most row groups by their
+    statistics; intervals that end in a unique column also divide a key of many rows.
+    ``bloom`` names columns that get a Bloom filter in each row group, for single values
+    of a column that the rows aren't sorted by. A table of a catalog can have ``buckets``
+    (column and number): tables alike in these join by that column without a shuffle.
+    Rows are then only sorted within their bucket.
+    """
+
+    cluster_by: Sequence[str] = ()
+    bloom: Sequence[str] = ()
+    buckets: tuple[str, int] | None = None
+
+    def laid_out(self, df: DataFrame) -> DataFrame:
+        if self.buckets:
+            column, count = self.buckets
+            return df.repartition(count, column)
+        if self.cluster_by:
+            return df.repartitionByRange(*self.cluster_by).sortWithinPartitions(*self.cluster_by)
+        return df
+
+    def writer(self, df: DataFrame) -> DataFrameWriter:
+        made = self.laid_out(df).write.format("parquet")
+        for column in self.bloom:
+            made = made.option(f"parquet.bloom.filter.enabled#{column}", "true")
+        if self.buckets:
+            column, count = self.buckets
+            made = made.bucketBy(count, column).sortBy(*(self.cluster_by or (column,)))
+        return made
 
 
 # --- Folders ---
@@ -63,10 +94,12 @@ def _remove(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
-def _save_folder(df: DataFrame, root: str) -> str:
+def _save_folder(df: DataFrame, root: str, how: Arrangement) -> str:
+    if how.buckets:
+        raise ValueError("only tables of a catalog have buckets")
     spark, version = df.sparkSession, f"v-{uuid.uuid4().hex[:12]}"
     try:
-        df.write.parquet(f"{root}/{version}")
+        how.writer(df).save(f"{root}/{version}")
     except Exception:
         _remove(spark, f"{root}/{version}")
         raise
@@ -84,12 +117,12 @@ def _properties(spark: SparkSession, view: str) -> dict[str, str]:
     return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {view}").collect()}
 
 
-def _save_catalog(df: DataFrame, base: str, name: str) -> None:
+def _save_catalog(df: DataFrame, base: str, name: str, how: Arrangement) -> None:
     spark = df.sparkSession
     view, version = f"`{base}`.`{name}`", f"{name}__v_{uuid.uuid4().hex[:12]}"
     stored = f"`{base}`.`{version}`"
     try:
-        df.write.format("parquet").saveAsTable(stored)
+        how.writer(df).saveAsTable(stored)
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {stored}")
         raise
@@ -112,13 +145,13 @@ def _save_catalog(df: DataFrame, base: str, name: str) -> None:
 # --- Both ---
 
 
-def save(df: DataFrame, base: str, name: str, cluster_by: Sequence[str] = ()) -> DataFrame:
+def save(df: DataFrame, base: str, name: str, how: Arrangement | None = None) -> DataFrame:
     """Replace table ``name`` in ``base``, a folder or (without a slash) a catalog schema; return it as stored."""
-    spark, laid_out = df.sparkSession, _clustered(df, cluster_by)
+    spark, how = df.sparkSession, how or Arrangement()
     if "/" not in base:
-        _save_catalog(laid_out, base, name)
+        _save_catalog(df, base, name, how)
         return spark.table(f"`{base}`.`{name}`")
-    return spark.read.schema(df.schema).parquet(_save_folder(laid_out, f"{base}/{name}"))
+    return spark.read.schema(df.schema).parquet(_save_folder(df, f"{base}/{name}", how))
 
 
 def location(spark: SparkSession, path: str) -> str:

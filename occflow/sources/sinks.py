@@ -20,14 +20,23 @@ def ensure_schema(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
-def save_run_table(df: DataFrame, base: str, name: str, cluster_by: Sequence[str] = ()) -> DataFrame:
+# Observations are read by species and looked up by id.
+OBSERVATIONS = run_tables.Arrangement(cluster_by=(C.SPECIES, C.OBS_ID), bloom=(C.OBS_ID,))
+
+
+def save_run_table(
+    df: DataFrame,
+    base: str,
+    name: str,
+    cluster_by: Sequence[str] = (),
+    bloom: Sequence[str] = (),
+    buckets: tuple[str, int] | None = None,
+) -> DataFrame:
     """Replace run table ``name`` in one step and return it as stored; see ``run_tables``.
 
-    ``base`` is a directory, or a catalog schema when it has no slash. Rows
-    sorted by ``cluster_by`` let later reads of single keys skip most of the
-    data; intervals that end in a unique column also divide a key of many rows.
+    ``base`` is a directory, or a catalog schema when it has no slash.
     """
-    return run_tables.save(df, base, name, cluster_by)
+    return run_tables.save(df, base, name, run_tables.Arrangement(cluster_by, bloom, buckets))
 
 
 def guard_output(spark: SparkSession, path: str) -> None:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from occflow import constants as C
 from occflow.functions import filters
+from occflow.operators.limits import lowest
 
 SELECTIONS: dict[str, Mapping[str, str]] = {
     "standard": C.STANDARD_COLUMNS,
@@ -86,4 +87,4 @@ class RunSpec:
         """Cut to ``limit`` rows, lowest ids first so that a test run repeats."""
         if self.limit is None:
             return df
-        return df.orderBy(F.col(C.OBS_ID).asc_nulls_last()).limit(self.limit)
+        return lowest(df, C.OBS_ID, self.limit)

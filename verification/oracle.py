@@ -474,6 +474,19 @@ def _needed(sql: str) -> list[str]:
 
 # Whole jobs give what their parts give.
 QUERIES |= {
+    "snk2_catalog": "select * from species_growth_forms",
+    "snk3_refused": "select distinct species_nospace as species_ul, true as refused from raw",
+    "snk5_manifest": """select species_nospace as species_file, count(*) as rows from raw
+        where species_nospace is not null group by 1""",
+    "snk5_resumed": QUERIES["snk5_roundtrip"],
+    "snk12_appended_twice": QUERIES["stats_main"],
+    "srt1_species_list": """select species_nospace, row_number() over (order by species_nospace nulls last) as position
+        from (select distinct species_nospace from raw)""",
+    "srt1_attributes": """select species_nospace as species, row_number() over (order by species_nospace nulls last) as position
+        from rms""",
+    "srt2_decades": """select *, row_number() over (order by decade desc nulls first) as position
+        from (select decade, count(*) as raw_obs from backfilled group by 1)""",
+    "lim1_large": f"select {STANDARD} from occ where {MAIN} and {DATED_OR_NULL} and {NATIVE} order by taxonobservation_id limit 1000",
     "job7_export": QUERIES["snk5_roundtrip"],
     "job9_supplemental_rms": QUERIES["job6_final_rms"],
     "job9_native_status": QUERIES["job4_native_status"],

@@ -5,19 +5,20 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from occflow import constants as C
 from occflow.functions import derive, filters
-from occflow.operators import lookups, stats, status, taxonomy
+from occflow.operators import limits, lookups, stats, status, taxonomy
 from occflow.operators import species as species_ops
 from occflow.plans import checks, runs
-from occflow.sources import readers, sinks
-from occflow.sources.staging import Stage
+from occflow.sources import readers, sinks, species_export
+from occflow.sources.staging import Stage, hadoop_path
 from occflow.spec import RunSpec
 from verification import fixtures
 
@@ -257,6 +258,69 @@ def _combined_file(i: Inputs) -> DataFrame:
     return readers.read_csv(i.spark, path, i.csv_schema(stored), header=True)
 
 
+def _in_order(i: Inputs, df: DataFrame) -> DataFrame:
+    """``df`` with each row's ``position`` in its files, as a reader of them finds it."""
+    name, place = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+    rows = i.stage.table(df, "ordered").select("*", name.alias("file"), place.alias("place"))
+    files = rows.groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("file", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before"))
+    return rows.join(files, "file").select(*df.columns, (F.col("before") + F.col("place") + 1).alias("position"))
+
+
+def _in_catalog(i: Inputs) -> DataFrame:
+    """A table stored in a schema that is made for it, read by name."""
+    sinks.ensure_schema(i.spark, "occflow_check")
+    sinks.ensure_schema(i.spark, "occflow_check")
+    name = f"growth_{uuid.uuid4().hex[:8]}"
+    sinks.save_run_table(i.growth_forms, "occflow_check", name)
+    return i.spark.table(f"occflow_check.{name}")
+
+
+def _refused(i: Inputs) -> DataFrame:
+    """What an export left, after a second one to the same folder was refused."""
+    path = i.stage.path("guarded")
+    sinks.export_species_list(i.raw, path)
+    try:
+        sinks.guard_output(i.spark, path)
+        refused = False
+    except FileExistsError:
+        refused = True
+    return readers.read_species_list(i.spark, path).withColumn("refused", F.lit(refused))
+
+
+def _manifest(i: Inputs) -> DataFrame:
+    path = i.stage.path("by_species")
+    sinks.export_by_species(i.raw, path)
+    listed = species_export.manifest(i.spark, path)
+    return listed.groupBy(F.col("file").alias(sinks.SPECIES_DIR)).agg(F.sum("rows").alias("rows"))
+
+
+def _resumed(i: Inputs) -> DataFrame:
+    """An export that lost its manifest and every file of one part, taken up again."""
+    path = i.stage.path("by_species")
+    sinks.export_by_species(i.raw, path)
+    lost = [r["place"] for r in species_export._files(i.spark, path).where("place like '%part-00001-%'").collect()]
+    for place in [f"{path}/{species_export.MANIFEST}", *lost]:
+        target, fs = hadoop_path(i.spark, place)
+        fs.delete(target, True)
+    sinks.export_by_species(i.raw, path, resume=True)
+    return _species_files(i, path, _points(i.raw))
+
+
+def _appended_twice(i: Inputs) -> DataFrame:
+    base, spec = i.stage.path("stats"), RunSpec("s")
+    rows = i.stage.table(stats.main_stats(i.profile), "stats")
+    for _ in range(2):
+        stored = runs.append_run_stats(rows, base, spec)
+    return stored
+
+
+def _large_limit(i: Inputs) -> DataFrame:
+    rows = i.occ.filter(MAIN.predicate()).select(*MAIN.columns())
+    return limits.lowest(rows, C.OBS_ID, 1000, merged=0)
+
+
 def _iso(*codes: str):
     return F.col("iso_alpha3").isin(list(codes))
 
@@ -270,6 +334,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "src3_checklist": _checklist,
     "src4_checklist_extract": lambda i: readers.extract_checklist(i.lookup("distribution")),
     "snk1_run_table": _saved_run,
+    "snk2_catalog": _in_catalog,
+    "snk3_refused": _refused,
     "snk4_species_list": lambda i: _csv_roundtrip(i, sinks.species_list(i.raw), header=False),
     "snk4_binomial_list": lambda i: sinks.species_list(i.raw, C.SPECIES),
     "snk5_roundtrip": lambda i: _by_species_roundtrip(i, i.raw),
@@ -277,18 +343,26 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
         i, runs.extract(i.occ, LEGACY), header=False
     ),
     "snk7_all_columns": lambda i: _by_species_roundtrip(i, runs.unfiltered_run(i.occ), ["*"]),
+    "snk5_manifest": _manifest,
+    "snk5_resumed": _resumed,
     "snk8_attributes": lambda i: _csv_roundtrip(i, sinks.species_attributes(i.rms)),
     "snk9_metadata_attributes": lambda i: _csv_roundtrip(
         i,
         sinks.metadata_attributes(i.flagging.metadata, f"is_range_model_species_{FLAG_RUN}"),
     ),
     "snk11_dated_native": lambda i: _csv_roundtrip(
-        i, checks.dated_native(checks.backfill_dates(i.raw, i.occ))
+        i, checks.dated_native(checks.backfill_dates(i.raw, i.occ, i.stage))
     ),
     "snk12_append_stats": lambda i: stats.append_stats(
         stats.main_stats(taxonomy.species_profile(runs.extract(i.occ, SUPPLEMENTAL))),
         stats.supplemental_rows(i.flagged_rows),
     ),
+    "snk12_appended_twice": _appended_twice,
+    # Order
+    "srt1_species_list": lambda i: _in_order(i, sinks.species_list(i.raw)),
+    "srt1_attributes": lambda i: _in_order(i, sinks.species_attributes(i.rms)).select("species", "position"),
+    "srt2_decades": lambda i: _in_order(i, checks.obs_per_decade(checks.backfill_dates(i.raw, i.occ, i.stage))),
+    "lim1_large": _large_limit,
     # Derived columns
     "prj1_standard": lambda i: i.occ.select(*ANY.columns()),
     "prj2_unfiltered": lambda i: i.occ.select(*RunSpec("u", select="unfiltered").columns()),
@@ -367,7 +441,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "jn7_native_status": lambda i: i.flagging.observations.select(
         C.OBS_ID, "native_status", "is_introduced"
     ),
-    "jn8_dates": lambda i: checks.backfill_dates(i.raw, i.occ).select(C.OBS_ID, "event_date"),
+    "jn8_dates": lambda i: checks.backfill_dates(i.raw, i.occ, i.stage).select(C.OBS_ID, "event_date"),
     "jn9_species_attributes": lambda i: lookups.first_per_key(
         i.occ, C.SPECIES, ["scrubbed_taxonomic_status", C.GROUP]
     ).join(i.growth_forms.select(F.col("species").alias(C.SPECIES)), C.SPECIES, "left_semi"),
@@ -459,9 +533,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
         i.raw, i.lookup("range_model_data_metadata")
     )[1],
     # Validations
-    "val1_decade": lambda i: checks.obs_per_decade(checks.backfill_dates(i.raw, i.occ)),
+    "val1_decade": lambda i: checks.obs_per_decade(checks.backfill_dates(i.raw, i.occ, i.stage)),
     "val1_species_decade": lambda i: checks.obs_per_species_decade(
-        checks.backfill_dates(i.raw, i.occ)
+        checks.backfill_dates(i.raw, i.occ, i.stage)
     ),
     "val2_null_obs": lambda i: checks.null_rates_obs(i.test_data),
     "val2_null_spp": lambda i: checks.null_rates_species(i.test_data),
