@@ -324,32 +324,58 @@ def test_rules_of_short_texts(spark):
 
 
 def brute_top(vectors, k):
-    whole = {}
+    whole = []
     for i, v in vectors:
         if i is not None and v and all(x is not None and np.isfinite(x) for x in v):
-            whole.setdefault(i, np.floor(64 * np.array(v, dtype=np.float64)).astype(np.int64))
-    out = set()
-    for q in whole:
+            whole.append((i, [int(x) * 64 if np.isinf(64.0 * x) else int(np.floor(64.0 * x)) for x in map(float, v)]))
+    out = Counter()
+    for q, a in whole:
         if q % 20 == 0:
-            ranked = sorted((-int(whole[q] @ whole[c]), c) for c in whole if c != q)[:k]
-            out |= {(q, rank + 1, c, -s) for rank, (s, c) in enumerate(ranked)}
+            ranked = sorted((-sum(x * y for x, y in zip(a, b)), c) for c, b in whole if c != q and len(a) == len(b))[:k]
+            clip = lambda s: min(max(s, -(1 << 63)), (1 << 63) - 1)
+            out.update((q, rank + 1, c, clip(-s)) for rank, (s, c) in enumerate(ranked))
     return out
 
 
+def found_top(df):
+    return Counter(tuple(r) for r in df.select("query_id", "rank", "vec_id", "score").collect())
+
+
 def test_top_k(spark, sf_dir):
     vectors = [(r["vec_id"], r["embedding"]) for r in table(spark, sf_dir, "embeddings").collect()]
-    found = {tuple(r) for r in queries.op8_impact_topk(spark, sf_dir).select("query_id", "rank", "vec_id", "score").collect()}
-    assert found == brute_top(vectors, 20)
+    assert found_top(queries.op8_impact_topk(spark, sf_dir)) == brute_top(vectors, 20)
     # Small blocks, so that several blocks and runs meet and the proof has to hold across them.
-    small = impact_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, workspace(spark), block=64, query_block=7)
-    assert {tuple(r) for r in small.collect()} == brute_top(vectors, 20)
+    small = impact_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, workspace(spark), block_bytes=1 << 14, query_bytes=1 << 13)
+    assert found_top(small) == brute_top(vectors, 20)
+
+
+def test_top_k_of_components_of_any_size(spark):
+    rng = random.Random(8)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(200)]
+    rows += [(200 + i, [rng.choice((1e9, -1e9, 1e15, 3.5, 1e9 + 1, 0.0, -1e15)) for _ in range(4)]) for i in range(60)]
+    rows += [(300 + i, [rng.choice((1e200, -1e200, 1.7e308, -1.7e308, 1.0, 1e-300)) for _ in range(4)]) for i in range(25)]
+    rows += [(400, [1e15, 1.0, 0.0, 0.0]), (420, [1e15, 1.0, 0.0, 0.0]), (421, [1e15, 1.015625, 0.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for size in (1 << 12, 1 << 20):
+        found = impact_topk.top_k(frame, F.col("vec_id") % 20 == 0, workspace(spark), k=7, block_bytes=size, query_bytes=size)
+        assert found_top(found) == brute_top(rows, 7)
+
+
+def test_most_queries_end_by_proof(spark):
+    vectors = table(spark, "/root/testdata/sf0.01", "embeddings").select("vec_id", "embedding").collect()
+    x = np.array([r["embedding"] for r in vectors], dtype=np.float64)
+    ids = np.array([r["vec_id"] for r in vectors])
+    block = impact_topk.Block(impact_topk._pack(ids, x, 64), 64)
+    asked = impact_topk.Block(impact_topk._pack(ids[ids % 20 == 0], x[ids % 20 == 0], 64), 64)
+    _, told = impact_topk.search_block(asked, block, 20, np.full(asked.n, -np.inf))
+    assert told["proved"] > 0.9 * told["queries"]
 
 
 def test_top_k_edges(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [float("nan"), 1.0]), (5, [None, 1.0]), (20, [0.0, 0.0]), (None, [1.0, 1.0])]
-    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    found = {tuple(r) for r in impact_topk.top_k(frame, F.col("vec_id") % 20 == 0, workspace(spark), k=2).collect()}
-    assert found == brute_top(rows, 2)
+    rows += [(40, []), (60, [1.0]), (61, [2.0]), (80, [1.0, 0.0]), (80, [1.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("x", F.lit(1)).withColumn("block", F.lit(2))
+    assert found_top(impact_topk.top_k(frame, F.col("vec_id") % 20 == 0, workspace(spark), k=2)) == brute_top(rows, 2)
     assert impact_topk.top_k(frame.where("false"), F.col("vec_id") % 20 == 0, workspace(spark)).count() == 0
 
 
