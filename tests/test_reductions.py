@@ -81,7 +81,7 @@ def test_a_bloom_filter_of_ids_stands_below_the_exchange(spark, stage, settings)
     above = plan[: plan.index("might_contain")].split("\n")
     nearest = max(k for k, text in enumerate(above) if "Exchange hashpartitioning" in text)
     assert not any("Join" in text for text in above[nearest:])
-    assert "StringStartsWith" in plan
+    assert plan.count("StartsWith") >= 2
     assert found.count() == raw.where(f"{C.SPECIES} like 'Some 11%'").count()
 
 
