@@ -50,8 +50,10 @@ def later_places(runs: DataFrame, stage: Stage) -> DataFrame:
         .where(F.col("last") > F.col("first"))
         .select("a", "b", "units", "first")
     )
+    # Joined by sorting at every size: a small table would be broadcast, a larger one not, and
+    # the plan would depend on the input.
     return (
-        runs.join(stage.table(first, "first_runs"), ["a", "b", "units"])
+        runs.join(stage.table(first, "first_runs").hint("merge"), ["a", "b", "units"])
         .where(F.col("at") > F.col("first"))
         .groupBy(F.col("at.doc").alias("doc"), F.col("at.version").alias("version"))
         .agg(F.collect_set(F.struct(F.col("at.place").alias("place"), "units")).alias("starts"))
@@ -70,4 +72,4 @@ def with_starts(docs: DataFrame, doc: str, text: str, starts: DataFrame, stage:
     found = stage.table(starts, "starts").select(F.col("doc").alias("at"), F.col("version").alias("at_version"), "starts")
     left = boxed(docs, without=[text], doc=F.col(doc), version=F.xxhash64(text), text=F.col(text))
     on = F.col("doc").eqNullSafe(F.col("at")) & (F.col("version") == F.col("at_version"))
-    return left.join(found, on, "left").select("row", "text", "starts")
+    return left.join(found.hint("merge"), on, "left").select("row", "text", "starts")
