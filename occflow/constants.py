@@ -69,6 +69,14 @@ STANDARD_COLUMNS = {
     "event_date": "event_date",
 }
 
+# Columns that an occurrence table must have, with their types. It may have others.
+OCCURRENCE_SCHEMA = """
+    taxonobservation_id bigint, scrubbed_species_binomial string, latitude double, longitude double,
+    scrubbed_taxonomic_status string, higher_plant_group string, country string, native_status string,
+    is_introduced int, observation_type string, event_date date, is_invalid_latlong int, is_geovalid int,
+    georef_protocol string, is_centroid int, is_location_cultivated int, is_cultivated_observation int
+"""
+
 UNFILTERED_COLUMNS = {
     "taxonobservation_id": "taxonobservation_id",
     "observation_type": "observation_type",

@@ -28,6 +28,14 @@ def narrow_profile(profile: DataFrame) -> DataFrame:
     return profile.groupBy(*PROFILE_KEYS).agg(F.sum("obs").alias("obs"))
 
 
+def merge_profiles(*profiles: DataFrame) -> DataFrame:
+    """The profile of the observations of all of them together."""
+    whole = profiles[0].select(*PROFILE_KEYS, "obs")
+    for more in profiles[1:]:
+        whole = whole.unionByName(more.select(*PROFILE_KEYS, "obs"))
+    return narrow_profile(whole)
+
+
 def species_status(observations: DataFrame) -> DataFrame:
     """Distinct species and taxonomic status."""
     return observations.select(C.SPECIES, C.NOSPACE, C.STATUS).distinct()

@@ -24,12 +24,17 @@ from occflow.spec import RunSpec
 
 @dataclass(frozen=True)
 class Run:
-    """The tables of a run: observations, species, statistics, native status."""
+    """The tables of a run: observations, species, statistics, native status.
+
+    ``profile`` is the species profile before conflicting names are removed, from which
+    a main run can be extended.
+    """
 
     rmd: DataFrame
     rms: DataFrame
     stats: DataFrame
     native_status: DataFrame | None = None
+    profile: DataFrame | None = None
 
 
 def extract(occ: DataFrame, spec: RunSpec) -> DataFrame:
@@ -69,14 +74,36 @@ def main_run(occ: DataFrame, growth_forms: DataFrame, spec: RunSpec, stage: Stag
     observations = stage.table(extract(occ, spec), "observations")
     profile = stage.table(taxonomy.species_profile(observations), "profile")
     names = stage.table(taxonomy.dropped_names(profile), "dropped_names")
+    return _described(observations, profile, names, growth_forms)
+
+
+def _described(observations: DataFrame, profile: DataFrame, names: DataFrame, growth_forms: DataFrame) -> Run:
     kept = taxonomy.drop_names(profile, names)
     return Run(
         rmd=taxonomy.drop_names(observations, names),
         rms=species_ops.species_table(kept, growth_forms).drop("obs"),
         stats=stats_ops.main_stats(profile),
+        profile=profile,
     )
 
 
+def extend_run(run: Run, batch: DataFrame, growth_forms: DataFrame, spec: RunSpec, stage: Stage) -> Run:
+    """A main run as if ``batch`` had been among its occurrences; only the batch is scanned for its profile.
+
+    Profiles add up, and a name that conflicts in a run conflicts in any larger one, so
+    that removed observations never come back. Observations of the run are read once
+    more, to remove the names that conflict only now.
+    """
+    if spec.limit is not None:
+        raise ValueError("a run with a limit can't be extended")
+    if run.profile is None:
+        raise ValueError("the run has no profile")
+    added = stage.table(extract(batch, spec), "observations")
+    profile = stage.table(taxonomy.merge_profiles(run.profile, taxonomy.species_profile(added)), "profile")
+    names = stage.table(taxonomy.dropped_names(profile), "dropped_names")
+    return _described(run.rmd.unionByName(added), profile, names, growth_forms)
+
+
 def supplemental_species(
     rows: DataFrame, previous: DataFrame, native_status_table: DataFrame
 ) -> DataFrame:
@@ -182,6 +209,9 @@ def save_run(result: Run, base: str, spec: RunSpec) -> Run:
         native_status=None
         if native is None
         else sinks.save_run_table(native, base, "species_native_status"),
+        profile=None
+        if result.profile is None
+        else sinks.save_run_table(result.profile, base, spec.profile_table),
     )
 
 
@@ -191,7 +221,10 @@ def stored_run(spark: SparkSession, base: str, spec: RunSpec) -> Run | None:
     names += ["species_native_status"] if spec.missing_spp_run else []
     if not all(run_tables.exists(spark, base, n) for n in names):
         return None
-    return Run(*[_table(spark, base, n) for n in names])
+    made = Run(*[_table(spark, base, n) for n in names])
+    if run_tables.exists(spark, base, spec.profile_table):
+        made = replace(made, profile=_table(spark, base, spec.profile_table))
+    return made
 
 
 def _table(spark: SparkSession, base: str, name: str) -> DataFrame:

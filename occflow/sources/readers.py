@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from occflow import constants as C
 from occflow.operators.lookups import has_duplicates
 from occflow.sources import run_tables
 
@@ -26,8 +27,34 @@ def read_table(spark: SparkSession, source: str) -> DataFrame:
     return run_tables.read(spark, source)
 
 
-def read_occurrences(spark: SparkSession, source: str) -> DataFrame:
-    return read_table(spark, source)
+class SchemaError(ValueError):
+    """What is wrong with the columns of an input."""
+
+
+def check_schema(df: DataFrame, expected: str | StructType, what: str, extra: bool = True) -> DataFrame:
+    """``df`` if its columns are as declared; else one error that names all that aren't.
+
+    Columns may come in any order; further ones are allowed if ``extra``. Names count
+    with their case, as a name in another case is resolved but not written as declared.
+    """
+    declared = StructType.fromDDL(expected) if isinstance(expected, str) else expected
+    wanted = {f.name: f.dataType.simpleString() for f in declared.fields}
+    found: dict[str, list[str]] = {}
+    for f in df.schema.fields:
+        found.setdefault(f.name, []).append(f.dataType.simpleString())
+    faults = [f"missing: {n} {t}" for n, t in wanted.items() if n not in found]
+    faults += [f"retyped: {n} {'/'.join(found[n])}, declared {t}" for n, t in wanted.items() if n in found and found[n] != [t]]
+    faults += [f"repeated: {n}" for n, t in found.items() if len(t) > 1 and n not in wanted]
+    if not extra:
+        faults += [f"extra: {n} {'/'.join(t)}" for n, t in found.items() if n not in wanted]
+    if faults:
+        raise SchemaError(f"{what}: " + "; ".join(faults))
+    return df
+
+
+def read_occurrences(spark: SparkSession, source: str, expected: str | StructType = C.OCCURRENCE_SCHEMA) -> DataFrame:
+    """The occurrence table; columns that a run relies on are checked before any work."""
+    return check_schema(read_table(spark, source), expected, source)
 
 
 def read_csv(
@@ -55,7 +82,9 @@ def read_species_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_checklist(spark: SparkSession, path: str) -> DataFrame:
-    """One column of species names, with header. Names must be unique."""
+    """One column of species names, with header. The header is checked, and names must be unique."""
+    header = spark.read.options(header=True, inferSchema=False, quote='"', escape='"').csv(path).limit(0)
+    check_schema(header, "species string", path, extra=False)
     checklist = read_csv(spark, path, "species string", header=True)
     if has_duplicates(checklist, ["species"], "repeated").first()["repeated"]:
         raise ValueError(f"checklist has repeated species: {path}")

@@ -60,6 +60,10 @@ class RunSpec:
     def stats_table(self) -> str:
         return f"range_model_data_stats_{self.run}"
 
+    @property
+    def profile_table(self) -> str:
+        return f"range_model_profile_{self.run}"
+
     @property
     def prev_rms_table(self) -> str | None:
         return f"range_model_species_{self.prev_run}" if self.prev_run else None

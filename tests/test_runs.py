@@ -228,3 +228,45 @@ def test_staged_tables_are_cleared(spark, occ, growth_forms, tmp_path):
     runs.run_and_export(occ, growth_forms, limited, f"{tmp_path}/base", f"{tmp_path}/out")
     assert set(glob.glob(staged)) == before
     assert glob.glob(f"{tmp_path}/out/rm_data_cleared/species/*/*.csv")
+
+
+def test_an_extended_run_equals_a_whole_one(spark, occ, growth_forms, tmp_path, stage):
+    whole = runs.main_run(occ, growth_forms, MAIN, stage)
+    thirds = [occ.filter(F.col(C.OBS_ID) % 3 == k) for k in range(3)]
+    base = str(tmp_path)
+    run = runs.save_run(runs.main_run(thirds[0], growth_forms, MAIN, stage), base, MAIN)
+    for batch in thirds[1:]:
+        run = runs.save_run(runs.extend_run(run, batch, growth_forms, MAIN, stage), base, MAIN)
+    assert rows(run.rmd) == rows(whole.rmd)
+    assert rows(run.rms) == rows(whole.rms)
+    assert rows(run.stats) == rows(whole.stats)
+    again = runs.stored_run(spark, base, MAIN)
+    assert rows(again.profile) == rows(whole.profile)
+    with pytest.raises(ValueError):
+        runs.extend_run(run, occ, growth_forms, RunSpec("l", limit=5), stage)
+
+
+def test_columns_of_an_input_are_checked_before_any_work(spark, occ, tmp_path):
+    def stored(df, name):
+        df.limit(1).write.parquet(f"{tmp_path}/{name}")
+        return f"{tmp_path}/{name}"
+
+    assert "locality" in readers.read_occurrences(spark, stored(occ, "good")).columns
+    wrong = occ.drop("country", "event_date").withColumn("latitude", F.lit("1.5")).withColumn(C.OBS_ID, F.lit(1))
+    with pytest.raises(readers.SchemaError) as error:
+        readers.read_occurrences(spark, stored(wrong, "wrong"))
+    for part in ("missing: country string", "missing: event_date date", "retyped: latitude string, declared double", f"retyped: {C.OBS_ID} int"):
+        assert part in str(error.value)
+    assert "extra" not in str(error.value)
+    with pytest.raises(readers.SchemaError, match="extra: locality string"):
+        readers.check_schema(occ, C.OCCURRENCE_SCHEMA, "occ", extra=False)
+    own = occ.select(F.col(C.OBS_ID), F.col("country").alias("Country"))
+    with pytest.raises(readers.SchemaError, match="missing: country string"):
+        readers.check_schema(own, f"{C.OBS_ID} bigint, country string", "own")
+
+
+def test_the_header_of_a_checklist_is_checked(spark, tmp_path):
+    for name, df in (("other", spark.createDataFrame([("A a",)], "name string")), ("two", spark.createDataFrame([("A a", "x")], "species string, x string"))):
+        df.write.csv(f"{tmp_path}/{name}", header=True)
+        with pytest.raises(readers.SchemaError, match="missing: species|extra: x"):
+            readers.read_checklist(spark, f"{tmp_path}/{name}")

@@ -474,6 +474,9 @@ def _needed(sql: str) -> list[str]:
 
 # Whole jobs give what their parts give.
 QUERIES |= {
+    "job8_extended_rmd": QUERIES["job8_main_rmd"],
+    "job8_extended_rms": QUERIES["job8_main_rms"],
+    "stats_extended": QUERIES["stats_main"],
     "snk2_catalog": "select * from species_growth_forms",
     "snk3_refused": "select distinct species_nospace as species_ul, true as refused from raw",
     "snk5_manifest": """select species_nospace as species_file, count(*) as rows from raw

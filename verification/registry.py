@@ -316,6 +316,14 @@ def _appended_twice(i: Inputs) -> DataFrame:
     return stored
 
 
+def _extended(i: Inputs) -> runs.Run:
+    """A main run of two thirds of the occurrences, stored, and extended by the rest."""
+    late = F.pmod(F.xxhash64(C.OBS_ID), F.lit(3)) == 0
+    base = i.stage.path("run")
+    early = runs.save_run(runs.main_run(i.occ.where(~late), i.growth_forms, MAIN, i.stage), base, MAIN)
+    return runs.save_run(runs.extend_run(early, i.occ.where(late), i.growth_forms, MAIN, i.stage), base, MAIN)
+
+
 def _large_limit(i: Inputs) -> DataFrame:
     rows = i.occ.filter(MAIN.predicate()).select(*MAIN.columns())
     return limits.lowest(rows, C.OBS_ID, 1000, merged=0)
@@ -503,6 +511,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "job7_export": _main_files,
     "job8_main_rmd": lambda i: _stored_main(i).rmd,
     "job8_main_rms": lambda i: _stored_main(i).rms,
+    "job8_extended_rmd": lambda i: _extended(i).rmd,
+    "job8_extended_rms": lambda i: _extended(i).rms,
+    "stats_extended": lambda i: _extended(i).stats,
     "job9_supplemental_rmd": lambda i: i.supplemental_stored.rmd,
     "job9_supplemental_rms": lambda i: i.supplemental_stored.rms,
     "job9_native_status": lambda i: i.supplemental_stored.native_status,
