@@ -76,6 +76,11 @@ def read_csv(
     return spark.read.schema(schema).options(header=header, **options).csv(path)
 
 
+def csv_header(spark: SparkSession, path: str) -> DataFrame:
+    """The columns that the first line of a file names, as strings."""
+    return spark.read.options(header=True, **CSV_DIALECT).csv(path)
+
+
 def read_species_list(spark: SparkSession, path: str) -> DataFrame:
     """One column of names with underscores, no header."""
     return read_csv(spark, path, "species_ul string", header=False)
@@ -83,8 +88,7 @@ def read_species_list(spark: SparkSession, path: str) -> DataFrame:
 
 def read_checklist(spark: SparkSession, path: str) -> DataFrame:
     """One column of species names, with header. The header is checked, and names must be unique."""
-    header = spark.read.options(header=True, inferSchema=False, quote='"', escape='"').csv(path).limit(0)
-    check_schema(header, "species string", path, extra=False)
+    check_schema(csv_header(spark, path), "species string", path, extra=False)
     checklist = read_csv(spark, path, "species string", header=True)
     if has_duplicates(checklist, ["species"], "repeated").first()["repeated"]:
         raise ValueError(f"checklist has repeated species: {path}")

@@ -4,16 +4,7 @@ import pytest
 
 from verification import compare, oracle, registry
 
-# Every query when OCCFLOW_ALL_QUERIES is set; else one of each kind.
-SOME = [
-    "src1_occurrences", "src4_checklist_extract", "snk5_roundtrip", "prj12_caribbean",
-    "flt7_dated_specimen", "jn7_native_status", "jn9_species_attributes", "agg2_multistatus",
-    "agg9_unique", "job3_species_table", "job9_supplemental_rmd", "stats_supplemental",
-    "job11_import", "job12_metadata", "job14_introduced", "val1_species_decade", "val2_null_spp",
-    "val4_overlap", "val5_nsr", "val6_conflicting", "val7h_region_flag", "val7j_wider",
-    "val8_prefix_sdm",
-]
-CHOSEN = sorted(registry.QUERIES) if os.environ.get("OCCFLOW_ALL_QUERIES") else SOME
+SF_DIR = os.environ.get("OCCFLOW_SF_DIR", "/root/testdata/sf0.001")
 
 
 def test_every_query_has_a_twin():
@@ -21,11 +12,11 @@ def test_every_query_has_a_twin():
 
 
 @pytest.fixture(scope="module")
-def connection(sf_dir):
-    return compare.connect(sf_dir)
+def connection():
+    return compare.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", CHOSEN)
-def test_same_rows(spark, connection, sf_dir, name):
-    problem, _ = compare.difference(spark, connection, sf_dir, name)
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
+def test_same_rows(spark, connection, name):
+    problem, _ = compare.difference(spark, connection, SF_DIR, name)
     assert problem is None

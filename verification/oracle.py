@@ -2,39 +2,38 @@
 
 from __future__ import annotations
 
+from occflow import constants as C
 from verification import fixtures
 
-MAIN = """scrubbed_species_binomial is not null
-    and higher_plant_group in ('bryophytes', 'ferns and allies', 'flowering plants',
-        'gymnosperms (conifers)', 'gymnosperms (non-conifer)')
+
+
+def _listed(values: list[str]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+def _selected(columns: dict[str, str]) -> str:
+    return ", ".join(source if source == name else f"{source} as {name}" for source, name in columns.items())
+
+
+MAIN = f"""scrubbed_species_binomial is not null
+    and higher_plant_group in ({_listed(C.PLANT_GROUPS)})
     and is_invalid_latlong = 0
     and is_geovalid = 1
-    and (georef_protocol is null or georef_protocol <> 'county_centroid')
+    and (georef_protocol is null or georef_protocol <> '{C.EXCLUDED_GEOREF_PROTOCOL}')
     and (is_centroid is null or is_centroid = 0)
     and is_location_cultivated is null
     and (is_cultivated_observation = 0 or is_cultivated_observation is null)
-    and observation_type in ('plot', 'specimen', 'literature', 'checklist')"""
+    and observation_type in ({_listed(C.OBSERVATION_TYPES)})"""
 DATED_OR_NULL = "(extract(year from event_date) >= 1950 or event_date is null)"
 NATIVE = "is_introduced = 0"
 NATIVE_OR_UNKNOWN = "(is_introduced = 0 or is_introduced is null)"
-UNKNOWN = "(native_status in ('A', 'UNK') or native_status is null)"
-
-STANDARD = """taxonobservation_id, scrubbed_species_binomial, latitude, longitude,
-    scrubbed_taxonomic_status as taxonomic_status, higher_plant_group, country,
-    native_status, is_introduced, observation_type, event_date"""
-WIDE = """taxonobservation_id, observation_type, datasource, dataset, datasetkey, fk_tnrs_id,
-    verbatim_scientific_name, name_matched, name_matched_author, matched_taxonomic_status,
-    scrubbed_species_binomial, scrubbed_taxon_name_no_author, scrubbed_author,
-    scrubbed_taxonomic_status as taxonomic_status, higher_plant_group, latitude, longitude,
-    is_invalid_latlong, invalid_latlong_reason, fk_gnrs_id, country, is_geovalid, fk_cds_id,
-    is_centroid, georef_protocol, nsr_id, is_location_cultivated, is_cultivated_observation,
-    native_status, is_introduced, event_date"""
-VALIDATION = """taxonobservation_id, observation_type, datasource, dataset, scrubbed_family,
-    scrubbed_species_binomial, country, is_introduced, event_date, event_date_verbatim,
-    date_collected_verbatim"""
-
-IS_VASC = """cast(case when higher_plant_group in ('ferns and allies', 'flowering plants',
-    'gymnosperms (conifers)', 'gymnosperms (non-conifer)') then 1 else 0 end as integer)"""
+UNKNOWN = f"(native_status in ({_listed(C.UNKNOWN_STATUSES)}) or native_status is null)"
+
+STANDARD = _selected(C.STANDARD_COLUMNS)
+WIDE = _selected(C.UNFILTERED_COLUMNS)
+VALIDATION = _selected(C.VALIDATION_COLUMNS)
+
+IS_VASC = f"cast(case when higher_plant_group in ({_listed(C.VASCULAR_GROUPS)}) then 1 else 0 end as integer)"
 YEAR = "cast(date_part('year', event_date) as integer)"
 DECADE = f"cast(concat(left(cast({YEAR} as varchar), 3), '0') as integer)"
 
@@ -97,10 +96,10 @@ VIEWS = {
     "native_status": """select scrubbed_species_binomial, is_introduced, native_status, obs,
         cast(case when scrubbed_species_binomial in (select scrubbed_species_binomial from rms)
             then 1 else 0 end as integer) as is_sdm_species from sets""",
-    "rms2_flagged": """select r.*,
+    "rms2_flagged": f"""select r.*,
         scrubbed_species_binomial in (select scrubbed_species_binomial from rms) as shared,
         scrubbed_species_binomial not in (select scrubbed_species_binomial from native_status
-            where native_status in ('A', 'A,UNK', 'UNK') or native_status is null) as listed
+            where native_status in ({_listed(C.UNLISTED_STATUS_SETS)}) or native_status is null) as listed
         from rms2 r""",
     "unshared_rms": "select * exclude (shared, listed) from rms2_flagged where not shared",
     "unshared_rmd": """select * from unknown1 where scrubbed_species_binomial not in (
@@ -139,12 +138,10 @@ VIEWS = {
         from legacy l left join species_growth_forms f on l.scrubbed_species_binomial = f.species""",
     "unfiltered": extract(WIDE, "true"),
     "test_data": f"select {VALIDATION} from occ where {MAIN} and {DATED_OR_NULL} and {NATIVE_OR_UNKNOWN}",
-    "country_flags": """select country, iso_alpha3,
-        cast(iso_alpha3 in ('AIA','ATG','ABW','BHS','BRB','BMU','BES','VGB','CYM','CUB','CUW','DMA','DOM',
-            'GRD','GLP','HTI','JAM','MTQ','MSR','PRI','BLM','KNA','LCA','MAF','VCT','SXM','TTO','TCA','VIR')
+    "country_flags": f"""select country, iso_alpha3,
+        cast(iso_alpha3 in ({_listed(C.CARIBBEAN)})
             as integer) as is_caribbean,
-        cast(iso_alpha3 in ('AIA','ATG','ABW','BRB','BES','VGB','CUW','DMA','GLP','MTQ','MSR','PRI','BLM',
-            'KNA','LCA','MAF','VCT','SXM','TTO','VIR') as integer) as is_lesser_antilles,
+        cast(iso_alpha3 in ({_listed(C.LESSER_ANTILLES)}) as integer) as is_lesser_antilles,
         cast(0 as integer) as is_french_westindies from country""",
     "flagged_raw": f"""select b.*, case when taxonomic_status = 'Accepted' and is_introduced = 0
             then 1 else 0 end as is_range_model_ob_202209
@@ -262,8 +259,8 @@ QUERIES = {
         from all_species a left join range_model_data_metadata m on a.species = m.scrubbed_species_binomial
         left join species_observation_counts_crosstab c on a.species = c.species""",
     "prj12_caribbean": "select * from country_flags",
-    "prj12_caribbean_fixed": """select * replace (
-        cast(iso_alpha3 in ('GLP', 'MTQ', 'BLM', 'MAF') as integer) as is_french_westindies) from country_flags""",
+    "prj12_caribbean_fixed": f"""select * replace (
+        cast(iso_alpha3 in ({_listed(C.FRENCH_WEST_INDIES)}) as integer) as is_french_westindies) from country_flags""",
     # Filters
     "flt1_quality": _where(f"{MAIN} and {DATED_OR_NULL}"),
     "flt2_native": _where(f"{MAIN} and {DATED_OR_NULL} and {NATIVE}"),
@@ -283,8 +280,8 @@ QUERIES = {
         where scrubbed_species_binomial = scrubbed_taxon_name_no_author""",
     "flt14_country_unknown": """select taxonobservation_id, country from occ
         where country is not null and native_status = 'UNK'""",
-    "flt15_in_no_checklist": """select scrubbed_species_binomial, native_status from native_status
-        where native_status in ('A', 'A,UNK', 'UNK') or native_status is null""",
+    "flt15_in_no_checklist": f"""select scrubbed_species_binomial, native_status from native_status
+        where native_status in ({_listed(C.UNLISTED_STATUS_SETS)}) or native_status is null""",
     # Joins
     "jn1_group_attributes": "select scrubbed_species_binomial, taxonomic_status, higher_plant_group, is_vasc from rms",
     "jn2_growth_forms": "select scrubbed_species_binomial, taxonomic_status, family, growth_form from rms",
@@ -436,22 +433,22 @@ QUERIES = {
             is_cultivated_observation as is_cult, a.is_introduced
         from occ a join raw b on a.taxonobservation_id = b.taxonobservation_id
         where a.country = 'NATION_3' and scrubbed_genus in ('hot', 'blue')""",
-    "val7g_territory_species": """select distinct scrubbed_species_binomial as species
+    "val7g_territory_species": f"""select distinct scrubbed_species_binomial as species
         from occ a join country b on a.country = b.country
-        where b.iso_alpha3 in ('GLP', 'MTQ', 'BLM', 'MAF', 'GUF')
+        where b.iso_alpha3 in ({_listed([*C.FRENCH_WEST_INDIES, 'GUF'])})
             and scrubbed_species_binomial in (select species from listed)""",
     "val7h_region_flag": """select distinct scrubbed_species_binomial as species
         from occ a join country_flags b on a.country = b.country
         where (b.is_caribbean = 1 or b.iso_alpha3 = 'GUF')
             and scrubbed_species_binomial in (select species from listed)""",
-    "val7i_territory_rows": """select taxonobservation_id, scrubbed_species_binomial as species, a.country, is_geovalid,
+    "val7i_territory_rows": f"""select taxonobservation_id, scrubbed_species_binomial as species, a.country, is_geovalid,
             is_cultivated_observation as is_cult, a.is_introduced
         from occ a join country b on a.country = b.country
-        where b.iso_alpha3 in ('GLP', 'MTQ', 'BLM', 'MAF')
+        where b.iso_alpha3 in ({_listed(C.FRENCH_WEST_INDIES)})
             and scrubbed_species_binomial in (select species from listed)""",
-    "val7j_species_country": f"""select {VAL7_ROWS} where b.iso_alpha3 in ('GLP', 'MTQ', 'BLM', 'MAF', 'GUF')
+    "val7j_species_country": f"""select {VAL7_ROWS} where b.iso_alpha3 in ({_listed([*C.FRENCH_WEST_INDIES, 'GUF'])})
         and a.scrubbed_species_binomial in (select species from listed) group by 1, 2""",
-    "val7j_wider": f"""select {VAL7_ROWS} where b.iso_alpha3 in ('GLP', 'MTQ', 'BLM', 'MAF', 'GUF', 'PYF', 'ATF')
+    "val7j_wider": f"""select {VAL7_ROWS} where b.iso_alpha3 in ({_listed([*C.FRENCH_WEST_INDIES, 'GUF', 'PYF', 'ATF'])})
         and a.scrubbed_species_binomial in (select species from listed) group by 1, 2""",
     "val7k_one_species": f"""select {VAL7_ROWS} where a.scrubbed_species_binomial = 'hot gear 3' group by 1, 2""",
     "val8_prefix": """select * from country_species where country = 'NATION_3'
