@@ -26,7 +26,10 @@ def hadoop_path(spark: SparkSession, path: str):
 
 
 class Stage:
-    """Writes intermediate tables below one folder of its own."""
+    """Writes intermediate tables below one folder of its own.
+
+    As a context it removes them at the end: write results before.
+    """
 
     def __init__(self, spark: SparkSession, root: str | None = None) -> None:
         self.spark = spark
@@ -42,6 +45,12 @@ class Stage:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def __enter__(self) -> Stage:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.clear()
+
     def clear(self) -> None:
         """Remove everything staged here. Frames read from it stop working."""
         path, fs = hadoop_path(self.spark, self.root)
