@@ -106,10 +106,11 @@ def alike(occ: DataFrame, raw: DataFrame, stage: Stage | None = None) -> DataFra
     long as that filter's size is within its limits. The species are staged, so that
     their size is known: few are broadcast.
     """
-    ends = raw.agg(F.min(C.OBS_ID).alias("low"), F.max(C.OBS_ID).alias("high")).first()
-    near = occ.filter(F.col(C.OBS_ID).between(ends["low"], ends["high"]))
-    names = raw.select(C.SPECIES).distinct()
+    # One pass over ``raw``, combined on the map side; the ends come from its few rows.
+    names = raw.groupBy(C.SPECIES).agg(F.min(C.OBS_ID).alias("low"), F.max(C.OBS_ID).alias("high"))
     names = names if stage is None else stage.table(names, "raw_species")
+    ends = names.agg(F.min("low").alias("low"), F.max("high").alias("high")).first()
+    near = occ.filter(F.col(C.OBS_ID).between(ends["low"], ends["high"]))
     lookup = names.select(F.col(C.SPECIES).alias("__species"))
     return near.join(lookup, F.col(C.SPECIES).eqNullSafe(F.col("__species")), "left_semi")
 
