@@ -208,3 +208,45 @@ def test_a_plain_folder_or_table_is_still_read(spark, tmp_path):
     sinks.ensure_schema(spark, "occ_plain")
     spark.range(5).write.saveAsTable("occ_plain.t")
     assert sinks.save_run_table(spark.range(6), "occ_plain", "t").count() == 6
+
+
+def odd_names(spark):
+    """A species for every character that a folder's name may have to escape, and one without a name."""
+    names = [f"a{chr(c)}b" for c in range(1, 127)] + ["a\x7fb", "", "é ü", "100%25"]
+    made = spark.createDataFrame([(n, i) for i, n in enumerate(names)], f"{C.NOSPACE} string, {C.OBS_ID} long")
+    note = F.when(F.col(C.OBS_ID) % 3 == 0, F.col(C.NOSPACE)).when(F.col(C.OBS_ID) % 3 == 1, "")
+    return made.select("*", note.alias('no,"te'), F.lit("2020-01-02").cast("date").alias("day"), F.lit(0.1).alias("x"))
+
+
+@pytest.mark.parametrize("header", [True, False])
+def test_files_written_by_tasks_are_those_of_spark(spark, tmp_path, light_files, header):
+    for i, df in enumerate([observations(spark), odd_names(spark)]):
+        own, spark_s = str(tmp_path / f"own{i}"), str(tmp_path / f"spark{i}")
+        export = species_export.Export(df, ["*"])
+        plan = export.plan(species_export._keep(spark, own))
+        species_export._write_local(export, plan, None, own, header)
+        species_export._write(export, plan, None, spark_s, header)
+        assert content(own) == content(spark_s) != {}
+        assert os.path.exists(f"{own}/_SUCCESS") and not os.path.exists(f"{own}/_temporary")
+
+
+def test_no_process_is_started_for_a_file(spark, tmp_path):
+    # Hadoop's local file system writes a checksum file and starts processes that set permissions of both.
+    path = str(tmp_path / "species")
+    sinks.export_by_species(observations(spark, species=50, hot=10), path, columns=["*"])
+    assert len(content(path)) == 51
+    assert not glob.glob(f"{path}/species_file=*/.*")
+
+
+def test_a_failed_attempt_leaves_no_part_of_a_file(spark, tmp_path, light_files):
+    df = observations(spark).withColumn("note", F.when(F.col("part") == 2, F.raise_error(F.lit("lost"))).otherwise(F.col("note")))
+    path = str(tmp_path / "species")
+    export = species_export.Export(df, ["*"])
+    plan = species_export.Export(observations(spark), ["*"]).plan(species_export._keep(spark, path))
+    with pytest.raises(Exception, match="lost"):
+        species_export._write_local(export, plan, None, path, True)
+    assert not os.listdir(f"{path}/_temporary")
+    sinks.export_by_species(observations(spark), path, columns=["*"], resume=True)
+    whole = str(tmp_path / "whole")
+    sinks.export_by_species(observations(spark), whole, columns=["*"])
+    assert content(path) == content(whole)
