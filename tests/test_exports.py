@@ -230,6 +230,19 @@ def test_files_written_by_tasks_are_those_of_spark(spark, tmp_path, light_files,
         assert os.path.exists(f"{own}/_SUCCESS") and not os.path.exists(f"{own}/_temporary")
 
 
+def test_names_come_back_from_the_folders(spark, tmp_path):
+    df = odd_names(spark).withColumn("x", F.lit("+ %41"))
+    df = df.union(df.withColumn(C.NOSPACE, F.lit("a+b %2B/%"))).cache()
+    path = str(tmp_path / "spe+cies %20")
+    sinks.export_by_species(df, path, columns=[C.OBS_ID])
+    back = species_export.read_back(spark, path, f"{C.OBS_ID} long", header=True)
+    by_spark = readers.read_csv(spark, path, f"{C.OBS_ID} long, {sinks.SPECIES_DIR} string", header=True)
+    assert sorted(back.collect(), key=str) == sorted(by_spark.collect(), key=str)
+    assert back.count() == df.count() and back.columns == by_spark.columns
+    expected = df.selectExpr(C.OBS_ID, f"nullif({C.NOSPACE}, '')")
+    assert sorted(map(str, map(tuple, back.collect()))) == sorted(map(str, map(tuple, expected.collect())))
+
+
 def test_no_process_is_started_for_a_file(spark, tmp_path):
     # Hadoop's local file system writes a checksum file and starts processes that set permissions of both.
     path = str(tmp_path / "species")
