@@ -263,3 +263,41 @@ def test_a_failed_attempt_leaves_no_part_of_a_file(spark, tmp_path, light_files)
     whole = str(tmp_path / "whole")
     sinks.export_by_species(observations(spark), whole, columns=["*"])
     assert content(path) == content(whole)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("header", [True, False])
+def test_files_are_read_by_tasks_as_spark_reads_them(spark, tmp_path, light_files, header):
+    odd = odd_names(spark).withColumn("more", F.when(F.col(C.OBS_ID) % 2 == 0, F.lit(' ", a\n\n"b"\n')))
+    for i, df in enumerate([observations(spark), odd]):
+        path = str(tmp_path / f"own{i}")
+        sinks.export_by_species(df, path, columns=["*"], header=header)
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        files = {"recursiveFileLookup": True, "pathGlobFilter": "part-*.csv"}
+        for free_text in (True, False):
+            back = species_export.read_back(spark, path, schema, header, free_text)
+            # No list of files in the driver.
+            assert "Relation" not in plan_of(back) and back.columns == [*df.columns, sinks.SPECIES_DIR]
+            by_spark = readers.read_csv(spark, path, schema, header, free_text, **files)
+            # A lone carriage return: Spark's reader takes it for a line's end where it is the first that a file has.
+            lone = F.coalesce(F.col(C.OBS_ID) == 12, F.lit(False))
+            assert Counter(map(str, back.drop(sinks.SPECIES_DIR).where(~lone).collect())) == Counter(map(str, by_spark.where(~lone).collect()))
+        back = species_export.read_back(spark, path, schema, header, free_text=True).drop(sinks.SPECIES_DIR)
+        assert Counter(map(str, back.collect())) == Counter(map(str, df.where(F.col(C.NOSPACE).isNotNull()).collect()))
+        assert "Relation" not in plan_of(species_export._files(spark, path))
+        names = {r["place"] for r in species_export._files(spark, path).collect()}
+        assert names == set(glob.glob(f"{path}/species_file=*/part-*.csv"))
+
+
+def test_a_file_that_is_gone_or_cut_short(spark, tmp_path):
+    path = str(tmp_path / "species")
+    sinks.export_by_species(observations(spark, species=4, hot=30), path, columns=["*"])
+    name = glob.glob(f"{path}/species_file=Large*/part-*.csv")[0]
+    with open(name, "r+b") as file:
+        file.truncate(file.read().index(b'"line\n') + 8)
+    present = {r["file"]: r["rows"] for r in species_export._present(spark, path, observations(spark).columns, True).collect()}
+    assert len(present) == 5 and present["Small_1"] == 3
+    assert present["Large one/with: signs=%"] < 30
