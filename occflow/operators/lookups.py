@@ -12,10 +12,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from occflow import constants as C
 from occflow.sources.staging import Stage
 
+# Bits for each key of ``may_be_among`` (the next power of two), how many it has at most, and 64-bit words in a row of its table.
+BITS_FOR_KEY, MOST_BITS, WORDS_IN_ROW = 8, 1 << 28, 1 << 12
 
 def nulls_last_struct(columns: Sequence[str]) -> Column:
     """A struct that orders by ``columns`` ascending with nulls last."""
@@ -96,6 +99,32 @@ def flag_matches(
     )
 
 
+def may_be_among(value: Column, keys: DataFrame, count: int) -> Column:
+    """False only for a value that is not in the one column of ``keys``, a number of the same type; ``count`` is about their number.
+
+    Keys set a bit of a table of bits by their hash. The predicate reads no row of ``keys``, so Spark moves
+    it below the joins and exchanges of the table that it is put on. The bits grow with ``count``
+    up to ``MOST_BITS`` and are less sparse beyond.
+    """
+    bits = min(max(1 << (count * BITS_FOR_KEY).bit_length(), 64 * WORDS_IN_ROW), MOST_BITS)
+
+    def place(c: Column) -> Column:
+        return F.xxhash64(c).bitwiseAND(F.lit(bits - 1))
+
+    marks = keys.select(place(F.col(f"`{keys.columns[0]}`")).alias("at")).selectExpr(
+        "shiftright(at, 6) AS word", "shiftleft(1L, cast(at & 63 AS int)) AS bits"
+    )
+    every = keys.sparkSession.range(bits // 64).selectExpr("id AS word", "0L AS bits")
+    words = marks.union(every).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    row = F.floor(F.col("word") / WORDS_IN_ROW).alias("row")
+    rows = words.groupBy(row).agg(F.array_sort(F.collect_list(F.struct("word", "bits"))).getField("bits").alias("words"))
+    table = rows.agg(F.array_sort(F.collect_list(F.struct("row", "words"))).getField("words")).scalar()
+    at, width = place(value), (64 * WORDS_IN_ROW).bit_length() - 1
+    word = F.shiftright(at, 6).bitwiseAND(F.lit(WORDS_IN_ROW - 1))
+    found = F.get(F.get(table, F.shiftright(at, width).cast("int")), word.cast("int"))
+    return F.getbit(found, at.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
 def alike(occ: DataFrame, raw: DataFrame, stage: Stage | None = None) -> DataFrame:
     """Occurrences that can be those of rows in ``raw``: of its species, and within its range of ids.
 
@@ -104,13 +133,17 @@ def alike(occ: DataFrame, raw: DataFrame, stage: Stage | None = None) -> DataFra
     skipped; it also is what lets Spark build a Bloom filter of the ids at run time and
     apply it below the exchange (``spark.sql.optimizer.runtime.bloomFilter``), for as
     long as that filter's size is within its limits. The species are staged, so that
-    their size is known: few are broadcast.
+    their size is known: few are broadcast. Where Spark finds no such filter worth while,
+    bits of the ids cut the occurrences all the same, see ``may_be_among``.
     """
     # One pass over ``raw``, combined on the map side; the ends come from its few rows.
-    names = raw.groupBy(C.SPECIES).agg(F.min(C.OBS_ID).alias("low"), F.max(C.OBS_ID).alias("high"))
+    names = raw.groupBy(C.SPECIES).agg(F.min(C.OBS_ID).alias("low"), F.max(C.OBS_ID).alias("high"), F.count(C.OBS_ID).alias("ids"))
     names = names if stage is None else stage.table(names, "raw_species")
-    ends = names.agg(F.min("low").alias("low"), F.max("high").alias("high")).first()
+    ends = names.agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("ids").alias("ids")).first()
     near = occ.filter(F.col(C.OBS_ID).between(ends["low"], ends["high"]))
+    kind = raw.schema[C.OBS_ID].dataType
+    if ends["ids"] and isinstance(kind, IntegralType) and kind == occ.schema[C.OBS_ID].dataType:
+        near = near.filter(may_be_among(F.col(C.OBS_ID), raw.select(C.OBS_ID).filter(F.col(C.OBS_ID).isNotNull()), ends["ids"]))
     lookup = names.select(F.col(C.SPECIES).alias("__species"))
     return near.join(lookup, F.col(C.SPECIES).eqNullSafe(F.col("__species")), "left_semi")
 

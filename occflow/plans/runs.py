@@ -412,9 +412,10 @@ def flagging_run(
         .withColumn("native_status", F.lit(None).cast("string"))
         .withColumn("is_introduced", F.lit(1))
     )
-    described = update_attributes(cleared, metadata, stage).transform(derive.with_is_vasc)
-    with_status = update_native_status(described, occ, stage)
-    flagged = with_status.withColumn(ob_flag, F.when(filters.accepted_native(), 1).otherwise(0))
+    # By id first: rows move without the attributes then.
+    with_status = update_native_status(cleared, occ, stage)
+    described = update_attributes(with_status, metadata, stage).transform(derive.with_is_vasc)
+    flagged = described.withColumn(ob_flag, F.when(filters.accepted_native(), 1).otherwise(0))
     return FlaggedRun(flagged, flag_metadata(metadata, flagged, run_code))
 
 

@@ -153,3 +153,42 @@ def test_statistics_are_appended_once(spark, tmp_path):
     assert runs.clear_run_stats(spark, "NSR", base, spec).count() == 5
     assert readers.read_table(spark, f"{base}/{spec.stats_table}").count() == 5
     assert stats.append_stats(main, main).count() == 3
+
+
+def test_bits_of_ids_cut_occurrences_below_their_joins(spark, stage, settings):
+    made = occurrences(spark, 40_000)
+    raw = stage.table(made.where(f"{C.OBS_ID} % 7 = 0").drop("event_date"), "raw")
+    side = stage.table(spark.range(40_000).selectExpr("id AS other", "'x' AS more"), "side")
+    occ = stage.table(made, "occ").join(side, F.col(C.OBS_ID) == F.col("other")).select(C.OBS_ID, C.SPECIES, "event_date", "more")
+    settings({"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
+    near = lookups.alike(occ, raw, stage)
+    plan = near._jdf.queryExecution().optimizedPlan().toString()
+    joins, bits = ([k for k, text in enumerate(plan.split("\n")) if word in text] for word in ("Join Inner", "getbit"))
+    assert joins and bits and min(bits) > min(joins)
+    ids = raw.select(C.OBS_ID)
+    assert near.join(ids, C.OBS_ID, "left_semi").count() == occ.join(ids, C.OBS_ID, "left_semi").count() == raw.count()
+    # Of the others a few pass.
+    cut = occ.where(lookups.may_be_among(F.col(C.OBS_ID), ids, raw.count()))
+    assert raw.count() <= cut.count() < raw.count() + 40_000 / 5
+
+
+def test_bits_lose_no_key(spark):
+    keys = spark.sql("SELECT explode(array(-9223372036854775808L, 9223372036854775807L, -1L, 0L, 0L, null)) AS k").where("k is not null")
+    values = keys.union(spark.range(1, 3000))
+    for count in (1, 10**5):
+        found = [r[0] for r in values.where(lookups.may_be_among(F.col("k"), keys, count)).collect()]
+        assert {r[0] for r in keys.collect()} <= set(found) and len(found) < 400
+
+
+def test_native_status_by_id_with_repeated_and_foreign_ids(spark, stage):
+    raw = spark.createDataFrame([(1, "A"), (2, "A"), (2, "B"), (3, None), (None, "A"), (5, "B")], f"{C.OBS_ID} long, {C.SPECIES} string")
+    occ = spark.createDataFrame(
+        [(1, "Z", "N", 0), (1, "B", "Ne", 1), (2, "A", None, 0), (2, "A", "I", 1), (3, None, "N", 0), (None, "A", "N", 0), (5, "Z", "N", 0), (9, "A", "N", 0)],
+        f"{C.OBS_ID} long, {C.SPECIES} string, native_status string, is_introduced int",
+    )
+    for kind in ("long", "int"):
+        target = raw.withColumn(C.OBS_ID, F.col(C.OBS_ID).cast(kind)).withColumn("native_status", F.lit("old")).withColumn("is_introduced", F.lit(7))
+        out = runs.update_native_status(stage.table(target, "raw"), stage.table(occ, "occ"), stage)
+        assert rows(out) == sorted(
+            [(1, "A", "Ne", 1), (2, "A", "I", 1), (2, "B", "I", 1), (3, None, "N", 0), (None, "A", "old", 7), (5, "B", "old", 7)], key=repr
+        )
