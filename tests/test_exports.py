@@ -251,6 +251,30 @@ def test_no_process_is_started_for_a_file(spark, tmp_path):
     assert not glob.glob(f"{path}/species_file=*/.*")
 
 
+def test_files_that_tasks_make_weigh_less(spark, tmp_path, monkeypatch):
+    # A task costs a tenth of a second, which many tasks of few files add up to.
+    monkeypatch.setattr(layout, "PART_WEIGHT", 1 << 20)
+    export = species_export.Export(observations(spark, species=400, hot=0), [C.OBS_ID])
+    plan = species_export._plan(export, str(tmp_path / "species"))
+    assert plan.parts.count() == 400 and 13 <= plan.count <= max(16, spark.sparkContext.defaultParallelism + 1)
+    assert export.plan(species_export._keep(spark, str(tmp_path / "other"))).count > 100
+
+
+def test_rows_are_read_once_where_no_species_is_cut(spark, stage, monkeypatch, light_files):
+    def reads(*a, **b):
+        raise AssertionError("rows are read once more")
+
+    export = species_export.Export(observations(spark), ["*"])
+    cut = layout.lay_out(export.rows, species_export.SPECIES_DIR, export.key, export.columns, stage.table)
+    assert cut.species.where("edges is not null").count() == 1
+    small = species_export.Export(observations(spark, hot=0), ["*"])
+    for step in ("id_edges", "with_part"):
+        monkeypatch.setattr(layout, step, reads)
+    plan = small.plan(stage.table)
+    assert plan.species.schema["edges"].dataType == cut.species.schema["edges"].dataType
+    assert plan.parts.agg(F.sum("rows")).first()[0] == 900
+
+
 def test_a_failed_attempt_leaves_no_part_of_a_file(spark, tmp_path, light_files):
     df = observations(spark).withColumn("note", F.when(F.col("part") == 2, F.raise_error(F.lit("lost"))).otherwise(F.col("note")))
     path = str(tmp_path / "species")
