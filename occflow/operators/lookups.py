@@ -136,10 +136,10 @@ def alike(occ: DataFrame, raw: DataFrame, stage: Stage | None = None) -> DataFra
     their size is known: few are broadcast. Where Spark finds no such filter worth while,
     bits of the ids cut the occurrences all the same, see ``may_be_among``.
     """
-    # One pass over ``raw``, combined on the map side; the ends come from its few rows.
-    names = raw.groupBy(C.SPECIES).agg(F.min(C.OBS_ID).alias("low"), F.max(C.OBS_ID).alias("high"), F.count(C.OBS_ID).alias("ids"))
+    # The ends are not taken with the names, as ids would move with each of these then, more than the names themselves.
+    ends = raw.agg(F.min(C.OBS_ID).alias("low"), F.max(C.OBS_ID).alias("high"), F.count(C.OBS_ID).alias("ids")).first()
+    names = raw.select(C.SPECIES).distinct()
     names = names if stage is None else stage.table(names, "raw_species")
-    ends = names.agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("ids").alias("ids")).first()
     near = occ.filter(F.col(C.OBS_ID).between(ends["low"], ends["high"]))
     kind = raw.schema[C.OBS_ID].dataType
     if ends["ids"] and isinstance(kind, IntegralType) and kind == occ.schema[C.OBS_ID].dataType:
