@@ -129,9 +129,22 @@ def remaining(species: DataFrame) -> DataFrame:
     return species.filter((F.col("is_in_run1") == 0) & (F.col("is_in_nsr") == 0))
 
 
-def _observations_and_status(
-    occ: DataFrame, spec: RunSpec, stage: Stage
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+@dataclass(frozen=True)
+class Scan:
+    """What a supplemental run takes from the occurrences.
+
+    ``combinations`` counts what passes the filter but for native status, of ``spec``'s quality;
+    None where the scan had to be narrower.
+    """
+
+    spec: RunSpec
+    observations: DataFrame
+    profile: DataFrame
+    statuses: DataFrame
+    combinations: DataFrame | None = None
+
+
+def scan(occ: DataFrame, spec: RunSpec, stage: Stage) -> Scan:
     """Observations of the run, their profile, and native status of all species passing the main filter.
 
     All come from one scan of the occurrences, and the last two from one count of
@@ -143,13 +156,23 @@ def _observations_and_status(
     if not shared:
         observations = stage.table(extract(occ, spec), "observations")
         profile = stage.table(taxonomy.species_profile(observations), "profile")
-        return observations, profile, native_status(occ, spec)
+        return Scan(spec, observations, profile, native_status(occ, spec))
     passing = stage.table(extract(occ, replace(spec, introduced="any")), "observations")
     own = filters.predicate(spec.introduced, filters.INTRODUCED)
     counted = taxonomy.species_profile(passing, ["is_introduced", "native_status"])
     counted = stage.table(counted, "combinations")
     profile = taxonomy.narrow_profile(counted.filter(own))
-    return passing.filter(own), profile, status_ops.status_sets(counted)
+    return Scan(spec, passing.filter(own), profile, status_ops.status_sets(counted), counted)
+
+
+def species_rows_from(scanned: Scan, growth_forms: DataFrame, spec: RunSpec) -> DataFrame:
+    """``species_rows`` of another run over the same occurrences, from the counts of a scan of the same quality."""
+    shared = spec.quality == scanned.spec.quality and spec.limit is None and spec.introduced in filters.INTRODUCED
+    if scanned.combinations is None or not shared:
+        raise ValueError("the scan has not counted what the run needs")
+    profile = taxonomy.narrow_profile(scanned.combinations.filter(filters.predicate(spec.introduced, filters.INTRODUCED)))
+    kept = taxonomy.mark_dropped(profile).filter("not is_dropped")
+    return species_ops.species_table(kept.drop("is_dropped"), growth_forms)
 
 
 def supplemental_run(
@@ -158,9 +181,14 @@ def supplemental_run(
     previous: DataFrame,
     spec: RunSpec,
     stage: Stage,
+    scanned: Scan | None = None,
 ) -> Run:
-    """A main run, less the species of an earlier run and those of any checklist."""
-    observations, profile, statuses = _observations_and_status(occ, spec, stage)
+    """A main run, less the species of an earlier run and those of any checklist.
+
+    ``scanned`` is the scan of the occurrences for ``spec``, if it was made before.
+    """
+    scanned = scanned or scan(occ, spec, stage)
+    observations, profile, statuses = scanned.observations, scanned.profile, scanned.statuses
     names = stage.table(taxonomy.dropped_names(profile), "dropped_names")
     kept = taxonomy.drop_names(profile, names)
 

@@ -90,9 +90,16 @@ class Inputs:
     def species_rows(self, spec: RunSpec) -> DataFrame:
         return runs.species_rows(self.occ, self.growth_forms, spec)
 
+    @cached_property
+    def scan(self) -> runs.Scan:
+        return runs.scan(self.occ, SUPPLEMENTAL, self.stage)
+
     @cached_property
     def rms(self) -> DataFrame:
-        return self.stage.table(self.species_rows(MAIN).drop("obs"), "rms")
+        """Species of the main run; once a supplemental run has scanned the occurrences, from what it counted."""
+        scanned = self.__dict__.get("scan")
+        rows = runs.species_rows_from(scanned, self.growth_forms, MAIN) if scanned else self.species_rows(MAIN)
+        return self.stage.table(rows.drop("obs"), "rms")
 
     @cached_property
     def supplemental_rows(self) -> DataFrame:
@@ -109,8 +116,9 @@ class Inputs:
 
     @cached_property
     def supplemental(self) -> runs.Run:
+        scanned = self.scan
         return runs.supplemental_run(
-            self.occ, self.growth_forms, self.rms, SUPPLEMENTAL, self.stage
+            self.occ, self.growth_forms, self.rms, SUPPLEMENTAL, self.stage, scanned
         )
 
     @cached_property
